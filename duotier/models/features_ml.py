@@ -89,6 +89,14 @@ def fit_features(
     return PipelineModel(stages=stages)
 
 
+def stage(features_model: PipelineModel, output_col: str):
+    """The fitted stage that writes `output_col`."""
+    for s in features_model.stages:
+        if s.hasParam("outputCol") and s.getOutputCol() == output_col:
+            return s
+    raise KeyError(output_col)
+
+
 def label_names(features_model: PipelineModel) -> list[str]:
     """Class names in index order (the label decoder)."""
     from pyspark.ml.feature import StringIndexerModel
