@@ -67,19 +67,21 @@ def _band_of(conf) -> F.Column:
 
 def bands(df: DataFrame, conf_col: str | None = None, cols: Cols = COLS) -> DataFrame:
     """Histogram over the five confidence bands; empty bands show 0."""
+    from pyspark.sql import Window
+
     conf = F.col(conf_col or cols.confidence)
+    # one pass over the data; everything after the aggregate has at most five rows
     counts = df.groupBy(_band_of(conf).alias("band_order")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
     table = _band_table(df.sparkSession)
-    # five literal rows: the band table is bounded by construction
+    n = F.coalesce(F.col("n"), F.lit(0))
     return (
         F.broadcast(table)
         .join(counts, "band_order", "left")
         .select(
             "band_order",
             "band",
-            F.coalesce(F.col("n"), F.lit(0)).alias("n"),
-            exact_ratio(F.coalesce(F.col("n"), F.lit(0)) * 100, total).alias("pct"),
+            n.alias("n"),
+            exact_ratio(n * 100, F.sum(n).over(Window.partitionBy())).alias("pct"),
             "action",
         )
     )

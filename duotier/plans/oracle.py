@@ -312,7 +312,7 @@ def _band_case(col: str) -> str:
 _BANDS = ", ".join(f"({o}, '{label}', '{action}')" for o, label, _lo, _hi, action in C.CONFIDENCE_BANDS)
 SQL["confidence_bands"] = _q(
     f"""SELECT b.band_order, b.band, coalesce(c.n, 0) AS n,
-       {_ratio('100 * coalesce(c.n, 0)', '(SELECT count(*) FROM scored_v)')} AS pct, b.action
+       {_ratio('100 * coalesce(c.n, 0)', 'sum(coalesce(c.n, 0)) OVER ()')} AS pct, b.action
 FROM (VALUES {_BANDS}) b(band_order, band, action)
 LEFT JOIN (SELECT {_band_case('ml_confidence')} AS band_order, count(*) AS n FROM scored_v GROUP BY 1) c USING (band_order)"""
 )
@@ -370,7 +370,7 @@ USING (item_id)""",
 )
 SQL["zero_shot"] = _q(
     "SELECT i.item_id, b.label, b.score FROM items_v i LEFT JOIN zs_best b USING (item_id)",
-    """zs_lab0 AS (SELECT upper(substr(noun, 1, 1)) || substr(noun, 2, 100) || 's' AS label,
+    """zs_lab0 AS (SELECT upper(noun[1]) || lower(noun[2:]) || 's' AS label,
                    'parts: ' || noun || ' in ' || string_agg(DISTINCT adj, ' ' ORDER BY adj) AS description
             FROM codes_v GROUP BY noun),
 zs_lab AS (SELECT label, description, dense_rank() OVER (ORDER BY label) AS ordinal FROM zs_lab0),"""

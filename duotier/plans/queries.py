@@ -190,7 +190,7 @@ def q_zero_shot(spark, d):
     c = A.codes(spark, d)
     labels = c.groupBy("noun").agg(F.concat_ws(" ", F.array_sort(F.collect_set("adj"))).alias("kinds"))
     labels = labels.select(
-        F.concat(F.upper(F.substring("noun", 1, 1)), F.substring("noun", 2, 100), F.lit("s")).alias("label"),
+        F.concat(F.initcap("noun"), F.lit("s")).alias("label"),
         F.concat(F.lit("parts: "), F.col("noun"), F.lit(" in "), F.col("kinds")).alias("description"),
         "noun",
     )

@@ -61,3 +61,43 @@ def train_and_register(spark, labeled: DataFrame, size: str = "full", cols: Cols
     v = registry.register(spark, model, best["best_algorithm"], best["best_accuracy"])
     registry.point_alias(spark, C.CHAMPION, v)
     return runs
+
+
+def monitor_and_retrain(
+    spark,
+    classified: DataFrame,
+    corrections: DataFrame,
+    labeled: DataFrame,
+    size: str = "full",
+    need: int = C.MIN_CORRECTIONS,
+    algorithm: str = "RandomForest",
+    cols: Cols = COLS,
+) -> str:
+    """Entry point C: signals → decision; if needed, retrain on the augmented set,
+    register the new version and move Champion (not worse) or Challenger to it.
+    Returns the status line.  The only driver reads are one-row results."""
+    from pyspark.ml import PipelineModel
+
+    from ..operators import monitor, retrain
+
+    sig = monitor.signals(classified, cols=cols)
+    dec = monitor.decision(monitor.drift_flags(sig), corrections, need)
+    if not dec.select("retrain").first()[0]:
+        return monitor.status_line(sig, dec).first()["status"]
+    augmented = retrain.augment(labeled, classified, corrections, cols=cols)
+    runs, model, fm = retrain_model(augmented, size, algorithm, cols)
+    champion = registry.resolve(
+        registry.current_aliases(registry.alias_log_table(spark)), registry.versions_table(spark), C.CHAMPION
+    ).select("accuracy")
+    promo = retrain.promotion(runs.select("accuracy"), champion).first()
+    n_rows = augmented.count()
+    v = registry.register(
+        spark, PipelineModel(stages=[*fm.stages, model]), algorithm, promo["new_accuracy"],
+        description=f"Retrained on {n_rows} samples. Accuracy: {promo['new_accuracy']:.4f}",
+    )
+    registry.log_run(spark, algorithm, {"training_rows": n_rows, "retrain_reason": "drift_detected"},
+                     {"test_accuracy": promo["new_accuracy"]})
+    registry.point_alias(spark, C.CHAMPION if promo["promoted"] else C.CHALLENGER, v)
+    p = spark.createDataFrame([(promo["old_accuracy"], promo["new_accuracy"], promo["promoted"])],
+                              "old_accuracy double, new_accuracy double, promoted boolean")
+    return monitor.status_line(sig, dec, p).first()["status"]
