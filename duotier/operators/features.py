@@ -152,14 +152,15 @@ def price_z(df: DataFrame, stats: DataFrame, col: str = "price_eur", out: str =
 
 
 def split_strat(
-    df: DataFrame, label: str, frac: float, seed: int = C.SEED, id_col: str = COLS.id, out: str = "is_test"
+    df: DataFrame, label: str, frac: float, seed: int = C.SEED, id_col: str = COLS.id, out: str = "is_test",
+    **rank_options,
 ) -> DataFrame:
     """Stratified split: per label, the first round(frac·n) rows by md5(seed‖id) are test.
 
     Exact sizes; skew-safe (a label with a third of the rows is spread over
     many tasks, see `rank_within`)."""
     key = F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string")))
-    r = rank_within(df, [label], [key, F.col(id_col)], rn="_rn", group_size="_gn")
+    r = rank_within(df, [label], [key, F.col(id_col)], rn="_rn", group_size="_gn", **rank_options)
     return r.withColumn(out, F.col("_rn") <= F.round(F.lit(frac) * F.col("_gn"))).drop("_rn", "_gn")
 
 

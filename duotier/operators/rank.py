@@ -1,12 +1,16 @@
 """Exact row numbers without pulling a group into one task.
 
 A window `row_number() over (partition by g order by o)` sends every row of a
-group to one task; with one group holding a third of the data that task holds
-a third of the data.  Here the rows are range-partitioned on (g, o) instead, so
-a hot group is spread over many partitions, sorted inside each partition, and
-each row's number is its position inside its partition plus the number of rows
-of its group in all earlier partitions.  The per-(partition, group) count
-table has at most (partitions + groups) rows.
+group to one task; with one group holding a third of the data, that task
+holds a third of the data.  Here the (g, o) key space is cut into value ranges
+("buckets") by boundaries taken from a seeded sample.  The boundaries are
+sorted by Spark, collected once (at most `num_buckets` keys) and embedded in
+the plan as literals, so every recomputation assigns the same bucket.  A hot
+group spans many buckets.  Each row's number is its position inside its
+(bucket, group) plus the number of rows of its group in earlier buckets.  The
+count table has at most (buckets + groups) rows.
+
+Small inputs (up to `single_task_rows`) use one bucket: a plain window.
 """
 
 from __future__ import annotations
@@ -14,7 +18,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID, _POS, _CNT, _FIRST, _OFF = "_rk_pid", "_rk_pos", "_rk_cnt", "_rk_first", "_rk_off"
+_B, _POS, _CNT, _OFF = "_rk_b", "_rk_pos", "_rk_cnt", "_rk_off"
+
+
+def _search(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
+    """Number of bounds[lo:hi] strictly below key (bounds sorted), as a binary search."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(bounds[mid] < key, _search(key, bounds, mid + 1, hi)).otherwise(_search(key, bounds, lo, mid))
+
+
+def _boundaries(df: DataFrame, keys: list[str], num_buckets: int, per_bucket: int, n: int, seed: int) -> list:
+    frac = min(1.0, num_buckets * per_bucket / max(n, 1))
+    sample = df.select(*keys).sample(fraction=frac, seed=seed).orderBy(*keys).collect()
+    if not sample:
+        return []
+    step = max(1, len(sample) // num_buckets)
+    picked, last = [], None
+    for i in range(step, len(sample), step):
+        t = tuple(sample[i])
+        if t != last:
+            picked.append(t)
+            last = t
+    return picked[: num_buckets - 1]
 
 
 def rank_within(
@@ -23,36 +50,50 @@ def rank_within(
     order: list[Column],
     rn: str = "rn",
     group_size: str | None = None,
-    num_partitions: int | None = None,
+    num_buckets: int | None = None,
+    single_task_rows: int = 1_000_000,
+    per_bucket: int = 32,
+    max_groups: int = 100_000,
+    seed: int = 42,
 ) -> DataFrame:
     """Add `rn` (1-based position of each row in its `by` group by `order`).
 
-    `order` must be a total order inside each group (end it with a unique key),
-    so that the numbering is deterministic.  Optionally add `group_size`.
-    """
-    keys = [F.col(c) for c in by] + list(order)
-    parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    tagged = (
-        parted.sortWithinPartitions(*keys)
-        .withColumn(_PID, F.spark_partition_id())
-        # lower 33 bits of the id are the row's index inside its partition
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
+    `order` must be a total order inside each group (end it with a unique key)
+    so the numbering is deterministic; group keys must not be NULL.
+    Optionally add `group_size` (rows in the group)."""
+    spark = df.sparkSession
+    ocols = [f"_rk_o{i}" for i in range(len(order))]
+    base = df.withColumns(dict(zip(ocols, order)))
+    keys = list(by) + ocols
+    n = base.count() if single_task_rows is not None else None
+    bounds = []
+    if n is not None and n > single_task_rows:
+        nb = num_buckets or min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        bounds = _boundaries(base, keys, nb, per_bucket, n, seed)
+    if bounds:
+        types = [base.schema[c].dataType for c in keys]
+        key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
+        lits = [
+            F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds
+        ]
+        bucket = _search(key, lits, 0, len(lits))
+    else:
+        bucket = F.lit(0)
+    tagged = base.withColumn(_B, bucket).withColumn(
+        _POS, F.row_number().over(Window.partitionBy(_B, *by).orderBy(*[F.col(c) for c in keys]))
     )
-    counts = tagged.groupBy(_PID, *by).agg(F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST))
-    before = Window.partitionBy(*by).orderBy(_PID) if by else Window.orderBy(_PID)
+    counts = tagged.groupBy(_B, *by).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.partitionBy(*by).orderBy(_B) if by else Window.orderBy(_B)
     counts = counts.withColumn(_OFF, F.sum(_CNT).over(before) - F.col(_CNT))
     if group_size:
         whole = Window.partitionBy(*by) if by else Window.partitionBy()
         counts = counts.withColumn(group_size, F.sum(_CNT).over(whole))
-    if not by:
-        # one row per partition: bounded by the partition count
+    counts = counts.drop(_CNT)
+    if not by or base.select(*by).distinct().limit(max_groups + 1).count() <= max_groups:
+        # proven: at most buckets + max_groups rows
         counts = F.broadcast(counts)
-    cond = [tagged[_PID] == counts[_PID]] + [tagged[c].eqNullSafe(counts[c]) for c in by]
-    extra = [counts[group_size]] if group_size else []
-    out = tagged.join(counts, cond, "inner").select(
-        tagged["*"], (counts[_OFF] + tagged[_POS] - counts[_FIRST] + 1).alias(rn), *extra
-    )
-    return out.drop(_PID, _POS)
+    out = tagged.join(counts, [_B, *by], "inner").withColumn(rn, F.col(_OFF) + F.col(_POS))
+    return out.drop(_B, _POS, _OFF, *ocols)
 
 
 def dense_codes(df: DataFrame, col: str, rank_col: str) -> DataFrame:

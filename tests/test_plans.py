@@ -29,12 +29,14 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in p
 
 
-def test_split_has_no_window_over_the_label(spark):
-    df = features.split_strat(A.labeled(spark, SF["tiny"]), "code", 0.25)
+def test_split_windows_are_per_bucket_and_label(spark):
+    lab = A.labeled(spark, SF["tiny"])
+    df = features.split_strat(lab, "code", 0.25, num_buckets=8, single_task_rows=10)
     p = plan(df)
-    assert "rangepartitioning" in p.lower()
-    # the only window runs over the small per-(partition, label) count table
-    assert "row_number" not in p
+    plain = features.split_strat(lab, "code", 0.25)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, plain.collect()))
+    # row numbers are taken per (value-range bucket, label), never per label alone
+    assert "windowspecdefinition(_rk_b" in p
 
 
 def test_lexical_answerer_broadcasts_code_tokens(spark):

@@ -12,7 +12,7 @@ def test_rank_within_matches_window_with_hot_group(spark):
     rnd = random.Random(7)
     rows = [(i, "hot" if i % 3 == 0 else f"g{rnd.randint(0, 20)}", rnd.random()) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, g string, v double").repartition(8)
-    got = rank_within(df, ["g"], [F.col("v"), F.col("id")], rn="rn", group_size="n", num_partitions=16)
+    got = rank_within(df, ["g"], [F.col("v"), F.col("id")], rn="rn", group_size="n", num_buckets=16, single_task_rows=100)
     w = Window.partitionBy("g").orderBy("v", "id")
     want = df.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
     a = sorted((r["id"], r["rn"], r["n"]) for r in got.collect())
@@ -20,12 +20,24 @@ def test_rank_within_matches_window_with_hot_group(spark):
     assert a == b
 
 
-def test_hot_group_is_spread_over_partitions(spark):
+def test_hot_group_is_spread_over_buckets(spark):
     rows = [(i, "hot" if i % 3 == 0 else "cold", float(i)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, g string, v double")
-    parted = df.repartitionByRange(8, "g", "v", "id")
-    per_part = parted.where(F.col("g") == "hot").groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert len(per_part) > 1  # the hot group does not sit in one task
+    got = rank_within(df, ["g"], [F.col("v"), F.col("id")], num_buckets=16, single_task_rows=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_rk_b" in plan
+    hot = dict(got.where(F.col("g") == "hot").select("id", "rn").collect())
+    assert sorted(hot.values()) == list(range(1, 1001))
+    assert hot[0] == 1 and hot[2997] == 1000
+
+
+def test_numbering_is_the_same_when_recomputed_and_cached(spark):
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(i, f"g{rnd.randint(0, 3)}", rnd.random()) for i in range(2000)], "id long, g string, v double")
+    r = rank_within(df, ["g"], [F.col("v"), F.col("id")], num_buckets=8, single_task_rows=10)
+    a = sorted(map(tuple, r.collect()))
+    b = sorted(map(tuple, r.cache().collect()))
+    assert a == b
 
 
 def test_global_dense_rank(spark):
