@@ -15,18 +15,31 @@ Small inputs (up to `single_task_rows`) use one bucket: a plain window.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _B, _POS, _CNT, _OFF = "_rk_b", "_rk_pos", "_rk_cnt", "_rk_off"
 
 
-def _search(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of bounds[lo:hi] strictly below key (bounds sorted), as a binary search."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(bounds[mid] < key, _search(key, bounds, mid + 1, hi)).otherwise(_search(key, bounds, lo, mid))
+def _search(key: Column, bounds: Column, n: int) -> Column:
+    """Number of the n sorted `bounds` strictly below `key`: a binary search of
+    ceil(log2(n + 1)) steps over one literal array."""
+    steps = max(1, math.ceil(math.log2(n + 1)))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi) / 2).cast("int")
+        right = (lo < hi) & (F.try_element_at(bounds, mid + 1) < key)
+        left = (lo < hi) & ~right
+        return F.struct(
+            F.when(right, mid + 1).otherwise(lo).alias("lo"),
+            F.when(left, mid).otherwise(hi).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
 
 
 def _boundaries(df: DataFrame, keys: list[str], num_buckets: int, per_bucket: int, n: int, seed: int) -> list:
@@ -76,7 +89,7 @@ def rank_within(
         lits = [
             F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds
         ]
-        bucket = _search(key, lits, 0, len(lits))
+        bucket = _search(key, F.array(*lits), len(lits))
     else:
         bucket = F.lit(0)
     tagged = base.withColumn(_B, bucket).withColumn(
