@@ -79,6 +79,7 @@ ANSWER_FIELDS = ("iso_code", "reason", "agrees_with_ml")
 # Model candidates (sizes of the full configuration).
 LR_MAX_ITER = 1000
 LR_C = 1.0
+LR_TOL = 1e-4  # the reference estimator's default stopping tolerance
 RF_TREES = 200
 RF_DEPTH = 30
 GBT_ROUNDS = 50

@@ -66,16 +66,23 @@ def terms(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None = None,
     return tok.select(cols.id, F.explode(ngrams(F.col("_tok"), n)).alias("term"))
 
 
-def vocabulary(term_df: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
+def term_counts(df: DataFrame, cols: Cols = COLS, stop=None, n: int = C.NGRAM_MAX) -> DataFrame:
+    """(id, term, tf) for every term of every row: the text is tokenised once, and
+    the vocabulary and the per-row counts below both read this one aggregate
+    (the planner reuses its shuffle)."""
+    return terms(df, cols, stop, n).groupBy(cols.id, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def vocabulary(tc: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
     """The `k` most frequent terms over the corpus (ties: smaller term first)."""
-    counts = term_df.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
+    counts = tc.groupBy("term").agg(F.sum("tf").alias("freq"))
     return counts.orderBy(F.desc("freq"), F.asc("term")).limit(k)
 
 
-def term_freq(term_df: DataFrame, vocab: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """Count of each vocabulary term per row; terms outside the vocabulary are dropped."""
+def term_freq(tc: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Per-row counts of the vocabulary terms; other terms are dropped."""
     v = F.broadcast(vocab.select("term"))  # at most k rows
-    return term_df.join(v, "term", "left_semi").groupBy(cols.id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return tc.join(v, "term", "left_semi")
 
 
 def idf(tf: DataFrame, docs: DataFrame, cols: Cols = COLS) -> DataFrame:
@@ -99,16 +106,15 @@ def tfidf(tf: DataFrame, idf_df: DataFrame, cols: Cols = COLS) -> DataFrame:
 
 def tfidf_apply(df: DataFrame, vocab_idf: DataFrame, cols: Cols = COLS, stop=None) -> DataFrame:
     """Apply a fitted vocabulary + idf to other rows; unknown terms are ignored."""
-    t = terms(df, cols, stop)
-    tf = term_freq(t, vocab_idf, cols)
+    tf = term_freq(term_counts(df, cols, stop), vocab_idf)
     return tfidf(tf, vocab_idf, cols)
 
 
 def fit_text(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None) -> DataFrame:
     """Fitted vocabulary with idf: (term, freq, df, idf); at most k rows."""
-    t = terms(df, cols, stop)
-    vocab = vocabulary(t, k)
-    tf = term_freq(t, vocab, cols)
+    tc = term_counts(df, cols, stop)
+    vocab = vocabulary(tc, k)
+    tf = term_freq(tc, vocab)
     return vocab.join(idf(tf, df, cols), "term", "left").select(
         "term", "freq", F.coalesce("df", F.lit(0)).alias("df"), "idf"
     )

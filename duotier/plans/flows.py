@@ -47,9 +47,13 @@ def run_scoring(
     run_ts: str = RUN_TS,
     model_version: str = MODEL_VERSION,
     cols: Cols = COLS,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Score, answer routed rows once, store the answers, merge and store the output.
 
+    Default: the output table is replaced each run.  With `run_id`, rows get a
+    `run_id` column and are appended, so earlier runs stay visible to monitoring.
+
     `answerer=None` uses the bundled lexical answerer; otherwise a callable over
     a pandas Series of prompts (run in error mode).  Answers are written
     before they are parsed so a re-read never calls the model again."""
@@ -70,5 +74,10 @@ def run_scoring(
         model_version,
         cols,
     )
-    sinks.save_table(out, output_table)
+    if run_id is None:
+        sinks.save_table(out, output_table)
+    else:
+        from pyspark.sql import functions as F
+
+        sinks.append_table(out.withColumn("run_id", F.lit(run_id)), output_table)
     return sinks.read_table(spark, output_table)

@@ -415,29 +415,28 @@ def q_ngrams(spark, d):
 
 @query("vocab_topk")
 def q_vocab_topk(spark, d):
-    return features.vocabulary(features.terms(A.docs(spark, d)), C.VOCAB_SIZE)
+    return features.vocabulary(features.term_counts(A.docs(spark, d)), C.VOCAB_SIZE)
 
 
 @query("term_freq")
 def q_term_freq(spark, d):
-    docs = A.docs(spark, d)
-    t = features.terms(docs)
-    return features.term_freq(t, features.vocabulary(t))
+    tc = features.term_counts(A.docs(spark, d))
+    return features.term_freq(tc, features.vocabulary(tc))
 
 
 @query("idf")
 def q_idf(spark, d):
     docs = A.docs(spark, d)
-    t = features.terms(docs)
-    out = features.idf(features.term_freq(t, features.vocabulary(t)), docs)
+    tc = features.term_counts(docs)
+    out = features.idf(features.term_freq(tc, features.vocabulary(tc)), docs)
     return out.withColumn("idf", F.round("idf", 9))
 
 
 @query("tfidf")
 def q_tfidf(spark, d):
     docs = A.docs(spark, d)
-    t = features.terms(docs)
-    tf = features.term_freq(t, features.vocabulary(t))
+    tc = features.term_counts(docs)
+    tf = features.term_freq(tc, features.vocabulary(tc))
     return features.tfidf(tf, features.idf(tf, docs)).withColumn("weight", F.round("weight", 9))
 
 

@@ -111,3 +111,15 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 def literal_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small frame from literal rows (bounded by construction, safe to broadcast)."""
     return spark.createDataFrame(rows, schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer partitions than cores.
+
+    Large inputs already arrive in many splits and are left alone; a small
+    file with one row group (one task) is spread before CPU-heavy per-row work."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

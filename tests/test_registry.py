@@ -40,6 +40,15 @@ def test_scoring_run_writes_answers_then_output(spark):
     assert stored.count() == A.scored(spark, d).where(F.col("ml_confidence") < 0.85).count()
 
 
+def test_scoring_runs_can_append_with_run_id(spark):
+    d = SF["tiny"]
+    n = A.scored(spark, d).count()
+    for run in ("r1", "r2"):
+        out = flows.run_scoring(A.scored(spark, d), A.codes(spark, d), f"answers_{run}", "classified_log", run_id=run)
+    assert out.count() == 2 * n
+    assert {r["run_id"] for r in out.select("run_id").distinct().collect()} == {"r1", "r2"}
+
+
 def test_monitor_exit_without_retrain(spark):
     d = SF["tiny"]
     classified = flows.classified_flow(A.scored(spark, d), A.responses(spark, d))
