@@ -74,8 +74,9 @@ def term_counts(df: DataFrame, cols: Cols = COLS, stop=None, n: int = C.NGRAM_MA
 
 
 def vocabulary(tc: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
-    """The `k` most frequent terms over the corpus (ties: smaller term first)."""
-    counts = tc.groupBy("term").agg(F.sum("tf").alias("freq"))
+    """The `k` most frequent terms over the corpus (ties: smaller term first),
+    with their document frequency, from one aggregation of the per-row counts."""
+    counts = tc.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
     return counts.orderBy(F.desc("freq"), F.asc("term")).limit(k)
 
 
@@ -85,39 +86,35 @@ def term_freq(tc: DataFrame, vocab: DataFrame) -> DataFrame:
     return tc.join(v, "term", "left_semi")
 
 
-def idf(tf: DataFrame, docs: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """Smoothed inverse document frequency ln((1+N)/(1+df)) + 1 per term."""
+def idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
+    """Smoothed inverse document frequency ln((1+N)/(1+df)) + 1 per vocabulary term."""
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return df_.select(
+    return vocab.select(
         "term", "df", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
     )
 
 
-def tfidf(tf: DataFrame, idf_df: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """tf·idf per (row, term), L2-normalised per row."""
+def tfidf(tc: DataFrame, idf_df: DataFrame, cols: Cols = COLS) -> DataFrame:
+    """tf·idf per (row, vocabulary term), L2-normalised per row.
+
+    The inner join with the (at most k-row, broadcast) idf table keeps only
+    vocabulary terms; the per-row norm is a window over one row's terms."""
     from pyspark.sql import Window
 
     w = F.col("tf") * F.col("idf")
-    j = tf.join(F.broadcast(idf_df.select("term", "idf")), "term")  # at most k rows
+    j = tc.join(F.broadcast(idf_df.select("term", "idf")), "term")
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(cols.id)))
     return j.select(cols.id, "term", "tf", (w / norm).alias("weight"))
 
 
-def tfidf_apply(df: DataFrame, vocab_idf: DataFrame, cols: Cols = COLS, stop=None) -> DataFrame:
-    """Apply a fitted vocabulary + idf to other rows; unknown terms are ignored."""
-    tf = term_freq(term_counts(df, cols, stop), vocab_idf)
-    return tfidf(tf, vocab_idf, cols)
+def fit_text(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None) -> DataFrame:
+    """Fitted vocabulary with idf: (term, df, idf); at most k rows."""
+    return idf(vocabulary(term_counts(df, cols, stop), k), df)
 
 
-def fit_text(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None) -> DataFrame:
-    """Fitted vocabulary with idf: (term, freq, df, idf); at most k rows."""
-    tc = term_counts(df, cols, stop)
-    vocab = vocabulary(tc, k)
-    tf = term_freq(tc, vocab)
-    return vocab.join(idf(tf, df, cols), "term", "left").select(
-        "term", "freq", F.coalesce("df", F.lit(0)).alias("df"), "idf"
-    )
+def tfidf_apply(df: DataFrame, vocab_idf: DataFrame, cols: Cols = COLS, stop=None) -> DataFrame:
+    """Apply a fitted vocabulary + idf to other rows; unknown terms are ignored."""
+    return tfidf(term_counts(df, cols, stop), vocab_idf, cols)
 
 
 def vendor_index(train: DataFrame, cols: Cols = COLS) -> DataFrame:

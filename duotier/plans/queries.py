@@ -415,7 +415,7 @@ def q_ngrams(spark, d):
 
 @query("vocab_topk")
 def q_vocab_topk(spark, d):
-    return features.vocabulary(features.term_counts(A.docs(spark, d)), C.VOCAB_SIZE)
+    return features.vocabulary(features.term_counts(A.docs(spark, d)), C.VOCAB_SIZE).select("term", "freq")
 
 
 @query("term_freq")
@@ -427,8 +427,7 @@ def q_term_freq(spark, d):
 @query("idf")
 def q_idf(spark, d):
     docs = A.docs(spark, d)
-    tc = features.term_counts(docs)
-    out = features.idf(features.term_freq(tc, features.vocabulary(tc)), docs)
+    out = features.idf(features.vocabulary(features.term_counts(docs)), docs)
     return out.withColumn("idf", F.round("idf", 9))
 
 
@@ -436,8 +435,7 @@ def q_idf(spark, d):
 def q_tfidf(spark, d):
     docs = A.docs(spark, d)
     tc = features.term_counts(docs)
-    tf = features.term_freq(tc, features.vocabulary(tc))
-    return features.tfidf(tf, features.idf(tf, docs)).withColumn("weight", F.round("weight", 9))
+    return features.tfidf(tc, features.idf(features.vocabulary(tc), docs)).withColumn("weight", F.round("weight", 9))
 
 
 @query("tfidf_apply")

@@ -19,10 +19,11 @@ from ..operators.features import split_strat
 
 def prepare(df: DataFrame, frac: float, fit_on: str = "all", cols: Cols = COLS, vocab_size: int = C.VOCAB_SIZE):
     """Stratified split, then features fitted on all rows (default) or train rows only."""
-    d = split_strat(df, cols.label, frac, id_col=cols.id)
+    # every feature stage is fitted on these rows, so they are computed once
+    d = split_strat(df, cols.label, frac, id_col=cols.id).persist()
     fit_rows = d if fit_on == "all" else d.where(~F.col("is_test"))
     fm = fit_features(fit_rows, cols, vocab_size)
-    return fm, fm.transform(d)
+    return fm, fm.transform(d), d
 
 
 def compare_models(
@@ -30,9 +31,10 @@ def compare_models(
     only: list[str] | None = None, cols: Cols = COLS,
 ):
     """(runs, fitted, features_model): every candidate on one cached feature frame."""
-    fm, feats = prepare(labeled, frac, fit_on, cols)
+    fm, feats, split = prepare(labeled, frac, fit_on, cols)
     feats = feats.select("features", "label", "is_test").persist()
     n_train = feats.where(~F.col("is_test")).count()
+    split.unpersist()
     est = M.candidates(n_train, size)
     if only:
         est = {k: v for k, v in est.items() if k in only}
