@@ -85,6 +85,7 @@ RF_DEPTH = 30
 GBT_ROUNDS = 50
 GBT_DEPTH = 4
 GBT_STEP = 0.1
+OVR_PARALLELISM = 4  # concurrent one-vs-rest fits (a scheduling setting, not a model one)
 SEED = 42
 TRAIN_TEST_FRACTION = 0.25
 RETRAIN_TEST_FRACTION = 0.20

@@ -12,11 +12,12 @@ label → alphabetical index
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
-    IDF,
     NGram,
     Normalizer,
     OneHotEncoder,
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import COLS, Cols
+from ..operators.features import term_counts, vocabulary
 
 
 def _fx_sql(cols: Cols) -> str:
@@ -62,10 +64,14 @@ def fit_features(
     df = add(StopWordsRemover(inputCol="_tok", outputCol="_clean"), df)
     df = add(NGram(n=2, inputCol="_clean", outputCol="_bi"), df)
     df = add(SQLTransformer(statement="SELECT *, concat(_clean, _bi) AS _terms FROM __THIS__"), df)
-    df = add(CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size), df)
-    idf_model = IDF(inputCol="_tf", outputCol="_idf_raw").fit(df)
-    # Spark's idf is ln((N+1)/(df+1)); the smoothed form adds 1 to every weight.
-    smooth = Vectors.dense([w + 1.0 for w in idf_model.idf.toArray()])
+    # Vocabulary (top-k by corpus frequency, ties by term) and document
+    # frequencies come from one DataFrame aggregation over the same terms;
+    # at most k rows reach the driver.  idf = ln((1+N)/(1+df)) + 1.
+    vocab = vocabulary(term_counts(train, cols), vocab_size).collect()
+    n_docs = train.count()
+    terms = [r["term"] for r in vocab]
+    smooth = Vectors.dense([math.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0 for r in vocab])
+    df = add(CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_tf"), df)
     df = add(ElementwiseProduct(inputCol="_tf", outputCol="_tfidf", scalingVec=smooth), df)
     df = add(Normalizer(inputCol="_tfidf", outputCol="text_vec", p=2.0), df)
     df = add(

@@ -105,8 +105,14 @@ def rank_within(
     if not by or base.select(*by).distinct().limit(max_groups + 1).count() <= max_groups:
         # proven: at most buckets + max_groups rows
         counts = F.broadcast(counts)
-    out = tagged.join(counts, [_B, *by], "inner").withColumn(rn, F.col(_OFF) + F.col(_POS))
-    return out.drop(_B, _POS, _OFF, *ocols)
+    out = tagged.join(counts, [_B, *by], "inner").withColumn(rn, F.col(_OFF) + F.col(_POS)).drop(
+        _B, _POS, _OFF, *ocols
+    )
+    if not bounds and by:
+        # one range: the window left each group in one partition; a small input
+        # (at most single_task_rows rows) is spread again for what follows
+        out = out.repartition(spark.sparkContext.defaultParallelism)
+    return out
 
 
 def dense_codes(df: DataFrame, col: str, rank_col: str) -> DataFrame:

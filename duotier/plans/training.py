@@ -74,9 +74,14 @@ def monitor_and_retrain(
     need: int = C.MIN_CORRECTIONS,
     algorithm: str = "RandomForest",
     cols: Cols = COLS,
+    same_holdout: bool = False,
 ) -> str:
     """Entry point C: signals → decision; if needed, retrain on the augmented set,
     register the new version and move Champion (not worse) or Challenger to it.
+
+    By default the new model's holdout accuracy is compared with the accuracy
+    recorded for the Champion (on its own holdout).  `same_holdout=True` scores
+    the Champion on the new model's holdout rows instead.
     Returns the status line.  The only driver reads are one-row results."""
     from pyspark.ml import PipelineModel
 
@@ -91,6 +96,9 @@ def monitor_and_retrain(
     champion = registry.resolve(
         registry.current_aliases(registry.alias_log_table(spark)), registry.versions_table(spark), C.CHAMPION
     ).select("accuracy")
+    if same_holdout and champion.limit(1).count():
+        holdout = split_strat(augmented, cols.label, C.RETRAIN_TEST_FRACTION, id_col=cols.id).where("is_test")
+        champion = holdout_accuracy(spark, C.CHAMPION, holdout, cols)
     promo = retrain.promotion(runs.select("accuracy"), champion).first()
     n_rows = augmented.count()
     v = registry.register(
@@ -103,3 +111,17 @@ def monitor_and_retrain(
     p = spark.createDataFrame([(promo["old_accuracy"], promo["new_accuracy"], promo["promoted"])],
                               "old_accuracy double, new_accuracy double, promoted boolean")
     return monitor.status_line(sig, dec, p).first()["status"]
+
+
+def holdout_accuracy(spark, alias: str, rows: DataFrame, cols: Cols = COLS) -> DataFrame:
+    """One row: accuracy of the model behind `alias` on `rows` (labelled by `cols.label`)."""
+    from pyspark.ml import PipelineModel
+
+    from ..functions.text import exact_ratio
+    from ..models.score import score
+
+    full, _ = registry.load(spark, alias)
+    features_model, model = PipelineModel(stages=full.stages[:-1]), full.stages[-1]
+    scored = score(rows, features_model, model, "1970-01-01 00:00:00", alias, cols)
+    ok = F.coalesce(F.col(cols.predicted) == F.col(cols.label), F.lit(False))
+    return scored.agg(exact_ratio(F.count_if(ok), F.count(F.lit(1))).alias("accuracy"))

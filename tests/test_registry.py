@@ -32,6 +32,18 @@ def test_train_register_load_score_and_retrain(spark):
     assert cur == {C.CHAMPION: 1, C.CHALLENGER: 1}
 
 
+def test_retrain_on_the_same_holdout_registers_a_new_version(spark):
+    d = SF["tiny"]
+    training.train_and_register(spark, A.labeled(spark, d), size="compact")
+    classified = flows.classified_flow(A.scored(spark, d), A.responses(spark, d))
+    line = training.monitor_and_retrain(
+        spark, classified, A.corrections(spark, d), A.labeled(spark, d), size="compact", need=5, same_holdout=True
+    )
+    assert line.startswith("RETRAIN:YES|OLD_ACC:") and "|PROMOTED:" in line
+    versions = registry.versions_table(spark).agg(F.max("version")).first()[0]
+    assert versions >= 3
+
+
 def test_scoring_run_writes_answers_then_output(spark):
     d = SF["tiny"]
     out = flows.run_scoring(A.scored(spark, d), A.codes(spark, d), "llm_responses", "classified_items")
