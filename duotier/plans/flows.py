@@ -3,8 +3,9 @@
     scored → {accept, route}; route → answers → parse → fallback;
     accept ∪ resolved → conform → classified
 
-`classified_flow` returns the lazy result; `run_scoring` also writes the stored
-answers and the output table (two materialisation points, no driver collect).
+`classified_flow` returns the lazy result; `run_scoring` also writes the scored
+rows, the stored answers and the output table (three materialisation points in
+the shared storage, no driver collect).
 """
 
 from __future__ import annotations
@@ -60,6 +61,11 @@ def run_scoring(
     from ..sources import sinks
 
     spark = scored.sparkSession
+    # the scored rows feed both branches: write them once (the model runs once,
+    # and a lost executor re-reads the table instead of re-scoring)
+    scored_table = f"{output_table}__scored" + (f"_{run_id}" if run_id else "")
+    sinks.save_table(scored, scored_table)
+    scored = sinks.read_table(spark, scored_table)
     routed = gate.route(scored, t, cols)
     if answerer is None:
         ans = answers.lexical_answers(routed, codes, cols)
