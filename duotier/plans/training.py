@@ -49,11 +49,13 @@ def retrain_model(augmented: DataFrame, size: str = "full", algorithm: str = "Ra
     return runs, fitted[algorithm], fm
 
 
-def train_and_register(spark, labeled: DataFrame, size: str = "full", cols: Cols = COLS) -> DataFrame:
+def train_and_register(
+    spark, labeled: DataFrame, size: str = "full", cols: Cols = COLS, only: list[str] | None = None
+) -> DataFrame:
     """Compare, register the best as a new version and point Champion at it."""
     from pyspark.ml import PipelineModel
 
-    runs, fitted, fm = compare_models(labeled, size, cols=cols)
+    runs, fitted, fm = compare_models(labeled, size, cols=cols, only=only)
     for r in runs.collect():  # one row per candidate
         registry.log_run(spark, r["algorithm"], {"size": size},
                          {"test_accuracy": r["accuracy"], "avg_confidence": r["avg_confidence"],

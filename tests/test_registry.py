@@ -34,7 +34,7 @@ def test_train_register_load_score_and_retrain(spark):
 
 def test_retrain_on_the_same_holdout_registers_a_new_version(spark):
     d = SF["tiny"]
-    training.train_and_register(spark, A.labeled(spark, d), size="compact")
+    training.train_and_register(spark, A.labeled(spark, d), size="compact", only=["LogisticRegression"])
     classified = flows.classified_flow(A.scored(spark, d), A.responses(spark, d))
     line = training.monitor_and_retrain(
         spark, classified, A.corrections(spark, d), A.labeled(spark, d), size="compact", need=5, same_holdout=True
