@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import COLS
-from ..functions.text import distinct_tokens, money_text, tokens
+from ..functions.text import tokens
 from ..operators import answers, evaluate, features, gate, merge, monitor, prep, retrain, zero_shot
 from ..operators.rank import dense_codes
 from ..sources import adapters as A
@@ -539,5 +539,3 @@ def all_queries() -> dict[str, Query]:
 
     return dict(QUERIES)
 
-
-_ = (distinct_tokens, money_text)
