@@ -42,3 +42,28 @@ def test_split_windows_are_per_bucket_and_label(spark):
 def test_lexical_answerer_broadcasts_code_tokens(spark):
     p = plan(QUERIES["llm_answers"](spark, SF["tiny"]))
     assert "BroadcastHashJoin" in p
+
+
+def test_checked_broadcast_only_within_the_bound(spark):
+    from duotier.session import checked_broadcast
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(checked_broadcast(small, max_rows=10), "k")
+        assert "BroadcastHashJoin" in plan(hinted)
+        refused = big.join(checked_broadcast(small, max_rows=5), "k")
+        assert "BroadcastHashJoin" not in plan(refused)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_only_splits_small_scans(spark):
+    from duotier.session import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == cores
+    many = spark.range(100).repartition(cores * 2)
+    assert spread(many).rdd.getNumPartitions() == cores * 2
