@@ -28,33 +28,51 @@ def first_classified(classified: DataFrame, cols: Cols = COLS) -> DataFrame:
 
 
 def corrected_rows(
-    classified: DataFrame, corrections: DataFrame, latest_only: bool = False, cols: Cols = COLS
+    classified: DataFrame,
+    corrections: DataFrame,
+    latest_only: bool = False,
+    cols: Cols = COLS,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Corrected items in training shape, label = expert code.
 
     Corrections for ids absent from the output are dropped.  Fields the output
-    table lacks (country, created date) are NULL.  With `latest_only`, one
-    correction per id (latest date, then largest code)."""
+    table lacks (country, created date) are NULL, or taken from `items` when
+    given.  With `latest_only`, one correction per id (latest date, then
+    largest code)."""
     c = corrections
     if latest_only:
         c = c.groupBy(cols.id).agg(
             F.max(F.struct("correction_date", "corrected_code")).alias("_c")
         ).select(cols.id, F.col("_c.corrected_code").alias("corrected_code"))
     j = c.select(cols.id, "corrected_code").join(first_classified(classified, cols), cols.id, "inner")
+    if items is not None:
+        extra = items.groupBy(cols.id).agg(
+            F.min(F.struct("vendor_country", "created_date")).alias("_i")
+        ).select(cols.id, F.col("_i.vendor_country").alias("vendor_country"), F.col("_i.created_date").alias("created_date"))
+        j = j.join(extra, cols.id, "left")
+    else:
+        j = j.withColumns(
+            {"vendor_country": F.lit(None).cast("string"), "created_date": F.lit(None).cast("date")}
+        )
     return j.select(
         cols.id, cols.vendor, cols.text, cols.price, cols.currency,
-        F.lit(None).cast("string").alias("vendor_country"),
-        F.lit(None).cast("date").alias("created_date"),
+        "vendor_country", "created_date",
         F.col("corrected_code").alias(cols.label),
     )
 
 
 def augment(
-    labeled: DataFrame, classified: DataFrame, corrections: DataFrame, latest_only: bool = False, cols: Cols = COLS
+    labeled: DataFrame,
+    classified: DataFrame,
+    corrections: DataFrame,
+    latest_only: bool = False,
+    cols: Cols = COLS,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """kept ∪ corrected."""
     kept = kept_rows(labeled, corrections, cols).select(*TRAIN_COLUMNS)
-    return kept.unionByName(corrected_rows(classified, corrections, latest_only, cols))
+    return kept.unionByName(corrected_rows(classified, corrections, latest_only, cols, items))
 
 
 def augment_report(classified: DataFrame, corrections: DataFrame, cols: Cols = COLS) -> DataFrame:

@@ -130,6 +130,17 @@ def test_corrections_unknown_id_dropped_and_duplicates_kept(spark):
     assert (rep["n_corrections"], rep["n_applied"], rep["n_unknown_id"]) == (3, 2, 1)
 
 
+def test_corrected_rows_can_take_country_and_date_from_items(spark):
+    c = _classified(spark, [C.METHOD_ML])
+    corr = spark.createDataFrame([("i0", "A", "B", dt.date(2024, 3, 1), "x")],
+                                 "item_id string, predicted_code string, corrected_code string, correction_date date, corrector_name string")
+    items = spark.createDataFrame([("i0", "NO", dt.date(2024, 1, 5))], "item_id string, vendor_country string, created_date date")
+    plain = retrain.corrected_rows(c, corr).first()
+    rich = retrain.corrected_rows(c, corr, items=items).first()
+    assert plain["vendor_country"] is None and rich["vendor_country"] == "NO"
+    assert rich["created_date"] == dt.date(2024, 1, 5)
+
+
 def test_equal_accuracy_promotes(spark):
     new = spark.createDataFrame([(0.9,)], "accuracy double")
     old = spark.createDataFrame([(0.9,)], "accuracy double")
