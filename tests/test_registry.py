@@ -79,3 +79,22 @@ def test_table_helpers(spark):
     sinks.append_table(df, "five")
     assert sinks.read_table(spark, "five").count() == 10
     _ = S
+
+
+def test_end_to_end_with_a_trained_model(spark):
+    """B → A with a real model: train, load the Champion, score, answer, store, evaluate."""
+    from pyspark.ml import PipelineModel
+
+    from duotier.operators import evaluate
+
+    d = SF["tiny"]
+    training.train_and_register(spark, A.labeled(spark, d), size="compact", only=["LogisticRegression"])
+    model, row = registry.load(spark, C.CHAMPION)
+    features, clf = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
+    new = A.items(spark, d).select("item_id", "vendor_name", "product_description", "unit_price", "currency")
+    scored = S.score(new, features, clf, "2024-06-01 00:00:00", row["version"])
+    out = flows.run_scoring(scored, A.codes(spark, d), "e2e_answers", "e2e_classified")
+    assert out.count() == new.count()
+    truth = A.scored(spark, d).select("item_id", "truth_code")
+    ev = evaluate.evaluate(out, truth).first()
+    assert ev["n"] == new.count() and ev["accuracy"] is not None
