@@ -13,16 +13,17 @@ SF = {"tiny": "/root/testdata/sf0.001", "small": "/root/testdata/sf0.01"}
 def spark():
     from pyspark.sql import SparkSession
 
+    scratch = tempfile.mkdtemp(prefix="duotier-test-", dir="/tmp")
     s = (
         SparkSession.builder.master("local[*]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    scratch = tempfile.mkdtemp(prefix="duotier-test-", dir="/tmp")
     # tests only: the cluster would name a shared checkpoint folder itself
     from duotier.session import ensure_checkpoint_dir
 

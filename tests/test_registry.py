@@ -98,3 +98,22 @@ def test_end_to_end_with_a_trained_model(spark):
     truth = A.scored(spark, d).select("item_id", "truth_code")
     ev = evaluate.evaluate(out, truth).first()
     assert ev["n"] == new.count() and ev["accuracy"] is not None
+
+
+def test_catalog_table_overwrite_and_recreate_with_new_schema(spark):
+    sinks.save_catalog_table(spark.range(3), "duotier_t1")
+    assert spark.table("duotier_t1").count() == 3
+    sinks.save_catalog_table(spark.range(2).withColumn("x", F.lit("a")), "duotier_t1", recreate=True)
+    t = spark.table("duotier_t1")
+    assert t.columns == ["id", "x"] and t.count() == 2
+    spark.sql("DROP TABLE IF EXISTS duotier_t1")
+
+
+def test_parquet_export(spark):
+    import os
+    import tempfile
+
+    path = os.path.join(tempfile.mkdtemp(prefix="duotier-export-", dir="/tmp"), "out")
+    sinks.export_parquet(spark.range(4), path)
+    sinks.export_parquet(spark.range(2), path)  # overwrite
+    assert spark.read.parquet(path).count() == 2
