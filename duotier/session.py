@@ -15,10 +15,17 @@ BROADCAST_MAX_ROWS_CONF = "duotier.broadcast.maxRows"
 BROADCAST_MAX_ROWS = 100_000
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "duotier") -> SparkSession:
-    """Session for tests and local benchmarks (UTC, AQE on, no UI)."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "duotier", event_log_dir: str | None = None
+) -> SparkSession:
+    """Session for tests and local benchmarks (UTC, AQE on, no UI).
+
+    `event_log_dir` writes Spark's event log there (stage and task times)."""
+    b = SparkSession.builder
+    if event_log_dir:
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        b.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
