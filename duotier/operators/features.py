@@ -80,6 +80,13 @@ def vocabulary(tc: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
     return counts.orderBy(F.desc("freq"), F.asc("term")).limit(k)
 
 
+def top_terms(term_df: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
+    """The `k` most frequent terms straight from the term stream (no per-row
+    counts needed): one map-side-combined aggregation and a top-k."""
+    counts = term_df.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
+    return counts.orderBy(F.desc("freq"), F.asc("term")).limit(k)
+
+
 def term_freq(tc: DataFrame, vocab: DataFrame) -> DataFrame:
     """Per-row counts of the vocabulary terms; other terms are dropped."""
     v = F.broadcast(vocab.select("term"))  # at most k rows

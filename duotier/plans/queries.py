@@ -415,7 +415,7 @@ def q_ngrams(spark, d):
 
 @query("vocab_topk")
 def q_vocab_topk(spark, d):
-    return features.vocabulary(features.term_counts(A.docs(spark, d)), C.VOCAB_SIZE).select("term", "freq")
+    return features.top_terms(features.terms(A.docs(spark, d)), C.VOCAB_SIZE)
 
 
 @query("term_freq")
