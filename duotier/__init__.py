@@ -1,0 +1 @@
+"""duotier: two-tier item classification (classifier + answerer) as Spark DataFrame jobs."""

@@ -1,0 +1 @@
+"""Column-level helpers (tokens, JSON fields, exact ratios, fixed-digit text)."""

@@ -1,0 +1 @@
+"""Model tier: pyspark.ml feature pipeline, candidates, registry tables, scoring."""

@@ -1,0 +1 @@
+"""Flows (scoring, training, monitoring), registered queries and their DuckDB oracle."""

@@ -1,0 +1 @@
+"""Input adapters over the given tables, and table sinks."""
