@@ -44,7 +44,9 @@ def _search(key: Column, bounds: Column, n: int) -> Column:
 
 def _boundaries(df: DataFrame, keys: list[str], num_buckets: int, per_bucket: int, n: int, seed: int) -> list:
     frac = min(1.0, num_buckets * per_bucket / max(n, 1))
-    sample = df.select(*keys).sample(fraction=frac, seed=seed).orderBy(*keys).collect()
+    # expected num_buckets * per_bucket keys; the limit makes that a hard bound on what reaches the driver
+    cap = 2 * num_buckets * per_bucket
+    sample = df.select(*keys).sample(fraction=frac, seed=seed).orderBy(*keys).limit(cap).collect()
     if not sample:
         return []
     step = max(1, len(sample) // num_buckets)
