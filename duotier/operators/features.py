@@ -8,11 +8,6 @@ are counted.  The vocabulary is capped at `k` terms, so it is broadcast.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +17,26 @@ from ..functions.text import tokens as _tokens
 from .rank import dense_codes, rank_within
 
 
-@functools.lru_cache(maxsize=1)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list (read from the Spark ML jar)."""
-    import pyspark
+# Spark ML's default English stop words (StopWordsRemover), in its order.
+ENGLISH_STOP_WORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is are
+    was were be been being have has had having do does did doing a an the and but if or because as until while of
+    at by for with about against between into through during before after above below to from up down in out on
+    off over under again further then once here there when where why how all any both each few more most other
+    some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+    we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+    they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+    mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+    """.split()
+)
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+
+def english_stop_words() -> tuple[str, ...]:
+    """Spark ML's default English stop-word list."""
+    return ENGLISH_STOP_WORDS
 
 
 def clean_tokens(text, stop: tuple[str, ...] | None = None) -> Column:

@@ -151,7 +151,7 @@ def _exact_avg(col: str, cond: str | None = None, decimals: int = 4) -> str:
     if cond:
         return (
             f"CAST(sum(CASE WHEN {cond} THEN {v} END) AS DOUBLE) / "
-            f"nullif(count_if(({cond}) AND {col} IS NOT NULL) * {scale}, 0)"
+            f"nullif(count(*) FILTER (WHERE ({cond}) AND {col} IS NOT NULL) * {scale}, 0)"
         )
     return f"CAST(sum({v}) AS DOUBLE) / nullif(count({col}) * {scale}, 0)"
 
@@ -163,15 +163,15 @@ def _ratio(num: str, den: str) -> str:
 SIGNALS = f"""
 signals_v AS (
   SELECT count(*) AS n_total,
-         count_if(classification_method = 'ml_classifier') AS n_ml,
-         count_if(classification_method = 'llm_fallback') AS n_llm,
-         count_if(classification_method = 'ml_classifier_fallback') AS n_fallback,
+         count(*) FILTER (WHERE classification_method = 'ml_classifier') AS n_ml,
+         count(*) FILTER (WHERE classification_method = 'llm_fallback') AS n_llm,
+         count(*) FILTER (WHERE classification_method = 'ml_classifier_fallback') AS n_fallback,
          coalesce({_exact_avg('ml_confidence', "classification_method = 'ml_classifier'")}, 0.0) AS avg_confidence,
-         {_ratio("100 * count_if(classification_method IS DISTINCT FROM 'ml_classifier')", 'count(*)')} AS fallback_pct,
-         coalesce({_ratio("100 * count_if(classification_method = 'llm_fallback' AND final_code IS DISTINCT FROM ml_predicted_code)", "count_if(classification_method = 'llm_fallback')")}, 0.0) AS override_pct,
+         {_ratio("100 * count(*) FILTER (WHERE classification_method IS DISTINCT FROM 'ml_classifier')", 'count(*)')} AS fallback_pct,
+         coalesce({_ratio("100 * count(*) FILTER (WHERE classification_method = 'llm_fallback' AND final_code IS DISTINCT FROM ml_predicted_code)", "count(*) FILTER (WHERE classification_method = 'llm_fallback')")}, 0.0) AS override_pct,
          sum(CASE WHEN classification_method = 'ml_classifier' THEN CAST(round(ml_confidence * 10000.0) AS BIGINT) END) AS conf_sum_e4,
-         count_if(classification_method = 'ml_classifier' AND ml_confidence IS NOT NULL) AS conf_n,
-         count_if(classification_method IS DISTINCT FROM 'ml_classifier') AS n_not_ml
+         count(*) FILTER (WHERE classification_method = 'ml_classifier' AND ml_confidence IS NOT NULL) AS conf_n,
+         count(*) FILTER (WHERE classification_method IS DISTINCT FROM 'ml_classifier') AS n_not_ml
   FROM classified_v
 ),
 flags_v AS (
@@ -242,13 +242,13 @@ r_top AS (SELECT vendor_name, code AS majority_code FROM (
             SELECT *, row_number() OVER (PARTITION BY vendor_name ORDER BY n DESC, code) AS rn FROM r_counts) x WHERE rn = 1),
 r_raw AS (
   SELECT 1 AS version, 1 AS ordinal, 'stored_guess' AS algorithm, count(*) AS n,
-         count_if(coalesce(ml_predicted_code = truth_code, FALSE)) AS n_correct FROM scored_v
+         count(*) FILTER (WHERE coalesce(ml_predicted_code = truth_code, FALSE)) AS n_correct FROM scored_v
   UNION ALL
   SELECT 2, 2, 'lexical', count(*),
-         count_if(coalesce(CASE WHEN json_valid(l.response) THEN l.response->>'$.iso_code' END = s.truth_code, FALSE))
+         count(*) FILTER (WHERE coalesce(CASE WHEN json_valid(l.response) THEN l.response->>'$.iso_code' END = s.truth_code, FALSE))
   FROM scored_v s LEFT JOIN lx_ans l USING (item_id)
   UNION ALL
-  SELECT 3, 3, 'vendor_majority', count(*), count_if(coalesce(t.majority_code = s.truth_code, FALSE))
+  SELECT 3, 3, 'vendor_majority', count(*), count(*) FILTER (WHERE coalesce(t.majority_code = s.truth_code, FALSE))
   FROM scored_v s LEFT JOIN r_top t USING (vendor_name)
 ),
 runs AS (SELECT version, ordinal, algorithm, n, n_correct, {_ratio('n_correct', 'n')} AS accuracy FROM r_raw),
@@ -289,10 +289,10 @@ SQL["accept_branch"] = _q(
        ml_confidence AS final_confidence FROM scored_v WHERE ml_confidence >= {_dbl(T)}"""
 )
 SQL["gate_report"] = _q(
-    f"""SELECT count(*) AS n_total, count_if(ml_confidence >= {_dbl(T)}) AS n_accepted,
-       count_if(ml_confidence < {_dbl(T)}) AS n_routed,
-       {_ratio(f'100 * count_if(ml_confidence >= {_dbl(T)})', 'count(*)')} AS pct_accepted,
-       {_ratio(f'100 * count_if(ml_confidence < {_dbl(T)})', 'count(*)')} AS pct_routed
+    f"""SELECT count(*) AS n_total, count(*) FILTER (WHERE ml_confidence >= {_dbl(T)}) AS n_accepted,
+       count(*) FILTER (WHERE ml_confidence < {_dbl(T)}) AS n_routed,
+       {_ratio(f'100 * count(*) FILTER (WHERE ml_confidence >= {_dbl(T)})', 'count(*)')} AS pct_accepted,
+       {_ratio(f'100 * count(*) FILTER (WHERE ml_confidence < {_dbl(T)})', 'count(*)')} AS pct_routed
 FROM scored_v"""
 )
 
@@ -318,8 +318,8 @@ LEFT JOIN (SELECT {_band_case('ml_confidence')} AS band_order, count(*) AS n FRO
 )
 SQL["confidence_summary"] = _q(
     f"""SELECT count(*) AS n, {_exact_avg('ml_confidence')} AS mean_confidence,
-       count_if(ml_confidence < {_dbl(T)}) AS n_below,
-       {_ratio(f'100 * count_if(ml_confidence < {_dbl(T)})', 'count(*)')} AS pct_below
+       count(*) FILTER (WHERE ml_confidence < {_dbl(T)}) AS n_below,
+       {_ratio(f'100 * count(*) FILTER (WHERE ml_confidence < {_dbl(T)})', 'count(*)')} AS pct_below
 FROM scored_v"""
 )
 SQL["code_hierarchy"] = _q("SELECT code, substr(code, 1, 2) AS class_code, substr(code, 1, 5) AS subclass FROM codes_v")
@@ -355,9 +355,9 @@ SQL["llm_branch"] = _q(
 FROM resolved_v"""
 )
 SQL["llm_parse_report"] = _q(
-    """SELECT count(*) AS n_routed, count_if(llm_code IS NOT NULL) AS n_parsed, count_if(llm_code IS NULL) AS n_failed,
-       count_if(llm_code IS NOT NULL AND coalesce(llm_agrees, FALSE)) AS n_agreed,
-       count_if(llm_code IS NOT NULL AND NOT coalesce(llm_agrees, FALSE)) AS n_overrode
+    """SELECT count(*) AS n_routed, count(*) FILTER (WHERE llm_code IS NOT NULL) AS n_parsed, count(*) FILTER (WHERE llm_code IS NULL) AS n_failed,
+       count(*) FILTER (WHERE llm_code IS NOT NULL AND coalesce(llm_agrees, FALSE)) AS n_agreed,
+       count(*) FILTER (WHERE llm_code IS NOT NULL AND NOT coalesce(llm_agrees, FALSE)) AS n_overrode
 FROM resolved_v"""
 )
 SQL["llm_lexical_branch"] = _q(
@@ -401,7 +401,7 @@ SQL["cost_report"] = _q(
     f"""SELECT n_items, n_routed, round(n_items * {_ML}, 6) AS cost_ml, round(n_routed * {_LLM}, 6) AS cost_llm,
        round(n_items * {_ML} + n_routed * {_LLM}, 6) AS cost_total, round(n_items * {_LLM}, 6) AS cost_all_llm,
        {_ratio('(n_items - n_routed) * 100', 'n_items')} AS pct_llm_calls_saved
-FROM (SELECT count(*) AS n_items, count_if(classification_method <> 'ml_classifier') AS n_routed FROM classified_v) x"""
+FROM (SELECT count(*) AS n_items, count(*) FILTER (WHERE classification_method <> 'ml_classifier') AS n_routed FROM classified_v) x"""
 )
 SQL["monitor_signals"] = _q(
     "SELECT n_total, n_ml, n_llm, n_fallback, avg_confidence, fallback_pct, override_pct FROM signals_v", SIGNALS
@@ -427,25 +427,25 @@ FROM signals_v s, decision_v d""",
 )
 SQL["eval_hybrid"] = _q(
     f"""SELECT count(*) AS n,
-       {_ratio('count_if(coalesce(c.final_code = t.truth_code, FALSE))', 'count(*)')} AS accuracy,
-       count_if(classification_method = 'ml_classifier') AS n_ml,
-       {_ratio("count_if(classification_method = 'ml_classifier' AND coalesce(c.final_code = t.truth_code, FALSE))", "count_if(classification_method = 'ml_classifier')")} AS ml_accuracy,
-       count_if(classification_method = 'llm_fallback') AS n_llm,
-       {_ratio("count_if(classification_method = 'llm_fallback' AND coalesce(c.final_code = t.truth_code, FALSE))", "count_if(classification_method = 'llm_fallback')")} AS llm_accuracy,
-       count_if(classification_method = 'llm_fallback' AND c.final_code <> c.ml_predicted_code) AS n_reclassified
+       {_ratio('count(*) FILTER (WHERE coalesce(c.final_code = t.truth_code, FALSE))', 'count(*)')} AS accuracy,
+       count(*) FILTER (WHERE classification_method = 'ml_classifier') AS n_ml,
+       {_ratio("count(*) FILTER (WHERE classification_method = 'ml_classifier' AND coalesce(c.final_code = t.truth_code, FALSE))", "count(*) FILTER (WHERE classification_method = 'ml_classifier')")} AS ml_accuracy,
+       count(*) FILTER (WHERE classification_method = 'llm_fallback') AS n_llm,
+       {_ratio("count(*) FILTER (WHERE classification_method = 'llm_fallback' AND coalesce(c.final_code = t.truth_code, FALSE))", "count(*) FILTER (WHERE classification_method = 'llm_fallback')")} AS llm_accuracy,
+       count(*) FILTER (WHERE classification_method = 'llm_fallback' AND c.final_code <> c.ml_predicted_code) AS n_reclassified
 FROM classified_v c LEFT JOIN (SELECT item_id, truth_code FROM scored_v) t USING (item_id)"""
 )
 SQL["inference_profile"] = _q(
     f"""SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS DATE) AS bucket, CAST(user_id % 3 AS VARCHAR) AS model_version,
        count(*) AS n, count(DISTINCT event_type) AS n_predictions,
-       {_ratio('count_if(event_type IS NULL)', 'count(*)')} AS null_rate,
+       {_ratio('count(*) FILTER (WHERE event_type IS NULL)', 'count(*)')} AS null_rate,
        {_exact_avg('value', decimals=2)} AS mean_measure
 FROM events GROUP BY ALL"""
 )
 SQL["classified_profile"] = _q(
     f"""SELECT CAST(time_bucket(INTERVAL '1 day', scored_at) AS DATE) AS bucket, model_version,
        count(*) AS n, count(DISTINCT final_code) AS n_predictions,
-       {_ratio('count_if(final_code IS NULL)', 'count(*)')} AS null_rate,
+       {_ratio('count(*) FILTER (WHERE final_code IS NULL)', 'count(*)')} AS null_rate,
        {_exact_avg('final_confidence')} AS mean_measure
 FROM classified_v GROUP BY ALL"""
 )
@@ -466,7 +466,7 @@ JOIN fc f USING (item_id)""",
     FIRST_CLASSIFIED,
 )
 SQL["augment_report"] = _q(
-    """SELECT count(*) AS n_corrections, count_if(f.item_id IS NOT NULL) AS n_applied, count_if(f.item_id IS NULL) AS n_unknown_id
+    """SELECT count(*) AS n_corrections, count(*) FILTER (WHERE f.item_id IS NOT NULL) AS n_applied, count(*) FILTER (WHERE f.item_id IS NULL) AS n_unknown_id
 FROM corr_v c LEFT JOIN fc f USING (item_id)""",
     FIRST_CLASSIFIED,
 )
@@ -509,7 +509,7 @@ it AS (SELECT printf('ITM-%05d', p.p_partkey) AS item_id, lower(p.p_type) AS adj
 )
 SQL["item_ids"] = _q("SELECT p_partkey, printf('ITM-%05d', p_partkey) AS item_id FROM part")
 SQL["date_offset"] = _q(
-    """SELECT item_id, created_date, date_diff('day', created_date, DATE '2024-06-01') AS days_ago,
+    """SELECT item_id, created_date, CAST(date_diff('day', created_date, DATE '2024-06-01') AS INTEGER) AS days_ago,
        created_date - 365 AS year_before FROM items_v"""
 )
 SQL["tokens"] = _q(

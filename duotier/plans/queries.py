@@ -151,9 +151,8 @@ def q_llm_answers(spark, d):
 
 @query("llm_validate")
 def q_llm_validate(spark, d):
-    strict = answers.validate(A.responses(spark, d), full=True).select("item_id", F.col("is_valid").alias("valid_full"))
-    loose = answers.validate(A.responses(spark, d)).select("item_id", F.col("is_valid").alias("valid_code"))
-    return loose.join(strict, "item_id")
+    loose, strict = answers.is_valid(), answers.is_valid(full=True)
+    return A.responses(spark, d).select("item_id", loose.alias("valid_code"), strict.alias("valid_full"))
 
 
 @query("llm_parse")
@@ -217,24 +216,29 @@ def q_llm_error_mode(spark, d):
     with_stored = pr.join(A.responses(spark, d), "item_id").select(
         "item_id", F.concat("prompt", F.lit("\x1e"), "response").alias("prompt")
     )
-    ans = answers.answer(with_stored, _stored_answerer, error_mode=True)
+    ans = answers.answer(with_stored, _stored_answerer(), error_mode=True)
     parsed = answers.parse(ans.withColumn("had_error", F.col("error_message").isNotNull()), keep=["had_error"])
     return answers.fallback(routed, parsed).select("item_id", COLS.final, COLS.method, "had_error")
 
 
-def _stored_answerer(prompts):
+def _stored_answerer():
     """Answerer used by `llm_error_mode`: replays the stored response that
-    follows the prompt; raises when the stored text is not JSON."""
-    import json
+    follows the prompt; raises when the stored text is not JSON.  A nested
+    function, so that it travels to the workers by value."""
 
-    import pandas as pd
+    def answer(prompts):
+        import json
 
-    out = []
-    for p in prompts:
-        stored = p.rsplit("\x1e", 1)[-1]
-        json.loads(stored)  # raises on malformed text
-        out.append(stored)
-    return pd.Series(out)
+        import pandas as pd
+
+        out = []
+        for p in prompts:
+            stored = p.rsplit("\x1e", 1)[-1]
+            json.loads(stored)  # raises on malformed text
+            out.append(stored)
+        return pd.Series(out)
+
+    return answer
 
 
 # --- merge, monitor, evaluation -------------------------------------------------
