@@ -14,6 +14,7 @@ from ..session import checkpoint_dir
 
 #: Rows per Arrow batch: keeps a batch of very long texts well inside a worker's memory.
 BATCH_ROWS = 1000
+BATCH_BYTES = "16m"
 
 
 def scratch(spark: SparkSession) -> str:
@@ -43,6 +44,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def as_bytes(df: DataFrame, *cols: str, text: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, pii, quality, simhash
+from . import binary, license, mixing, packing, pii, quality, simhash, spans, topk
 from .common import documents
 
 QUERIES = {}
@@ -22,12 +22,36 @@ def op1_mixing(spark, d):
     return mixing.mix(documents(spark, d), keep=["doc_id", "source"])
 
 
+@query("op2_binary")
+def op2_binary(spark, d):
+    """Place, length and checksum of every document's ids, read back from the binary files."""
+    return binary.round_trip(documents(spark, d))
+
+
+@query("op3_spans")
+def op3_spans(spark, d):
+    """Every document without the sentences that an earlier document, or place in it, already has."""
+    return spans.deduplicate(documents(spark, d))
+
+
+@query("op4_license")
+def op4_license(spark, d):
+    """License notices found in every document."""
+    return license.scan(documents(spark, d))
+
+
 @query("op5_quality")
 def op5_quality(spark, d):
     """Rules and verdict of every document."""
     return quality.quality(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
 
 
+@query("op7_topk")
+def op7_topk(spark, d):
+    """The 20 best of every 20th vector against all others."""
+    return topk.top_k(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
 @query("op8_simhash")
 def op8_simhash(spark, d):
     """Fingerprint and near-duplicate component of every document."""
