@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import binary, license, mixing, packing, pii, quality, simhash, spans, topk
+from . import binary, license, lm, mixing, packing, pii, quality, simhash, spans, topk
 from .common import documents
 
 QUERIES = {}
@@ -46,6 +46,12 @@ def op5_quality(spark, d):
     return quality.quality(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
 
 
+@query("op6_lm")
+def op6_lm(spark, d):
+    """Base and model log-probability of every document, trained on six sevenths of them."""
+    return lm.score(documents(spark, d))
+
+
 @query("op7_topk")
 def op7_topk(spark, d):
     """The 20 best of every 20th vector against all others."""
