@@ -253,6 +253,10 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     members = rows.select(F.col("__fp").alias("fp"), F.col("doc_id").alias("id"), F.col("__text").alias("h"))
     order = F.struct(F.col("id").isNull().alias("x"), "id", "h", "fp")
     chosen = members.groupBy("fp").agg(F.min(order).alias("k")).join(named, "fp").groupBy("root").agg(F.min("k").alias("k"))
-    chosen = chosen.select(F.col("k.fp").alias("fp"), F.col("k.id").alias("id"), F.col("k.h").alias("h"))
-    same = (F.col("__fp") == F.col("fp")) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__text") == F.col("h"))
+    chosen = chosen.select(F.col("k.fp").alias("__k_fp"), F.col("k.id").alias("__k_id"), F.col("k.h").alias("__k_text"))
+    same = (
+        (F.col("__fp") == F.col("__k_fp"))
+        & F.col("doc_id").eqNullSafe(F.col("__k_id"))
+        & (F.col("__text") == F.col("__k_text"))
+    )
     return rows.join(chosen, same).dropDuplicates(["__fp", "doc_id", "__text"]).select(*docs.columns)

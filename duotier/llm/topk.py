@@ -183,7 +183,7 @@ class Scan:
         self.prune()
         i, c, u = self.kept[0]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.array(self.ids, np.int64)[i]), pa.array(c), pa.array([int(x) for x in u], pa.int64())], schema=schema
+            [pa.array(np.array(self.ids, np.int64)[i]), pa.array(c), pa.array([min(int(x), (1 << 63) - 1) for x in u], pa.int64())], schema=schema
         )
 
 
