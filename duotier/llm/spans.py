@@ -107,7 +107,8 @@ def repeated(found: DataFrame) -> DataFrame:
     """(doc_id, h, places): each document's repeated spans as [i, j, is_first]."""
     place = F.struct("doc_id", "h", "i")
     first = found.groupBy("span").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = found.join(first.select("span", "first"), "span")
+    # written, so that both sides of the join are plain exchanges and a hot span's places can be split
+    again = found.join(saved(first.select("span", "first"), "first"), "span")
     own = F.struct("i", "j", F.col("first").eqNullSafe(place).alias("is_first"))
     # a set: repeated rows of one document add nothing; it is bounded by the document's own spans
     return again.groupBy("doc_id", "h").agg(F.collect_set(own).alias("places"))
