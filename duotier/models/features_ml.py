@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import COLS, Cols
-from ..operators.features import term_counts, vocabulary
+from ..operators.features import vocabulary
 
 
 def _fx_sql(cols: Cols) -> str:
@@ -67,7 +67,7 @@ def fit_features(
     # Vocabulary (top-k by corpus frequency, ties by term) and document
     # frequencies come from one DataFrame aggregation over the same terms;
     # at most k rows reach the driver.  idf = ln((1+N)/(1+df)) + 1.
-    vocab = vocabulary(term_counts(train, cols), vocab_size).collect()
+    vocab = vocabulary(train, vocab_size, cols).collect()
     n_docs = train.count()
     terms = [r["term"] for r in vocab]
     smooth = Vectors.dense([math.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0 for r in vocab])

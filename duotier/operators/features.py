@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import COLS, Cols
 from ..functions.text import tokens as _tokens
-from .rank import dense_codes, rank_within
+from .rank import dense_codes, hash_rank
 
 
 # Spark ML's default English stop words (StopWordsRemover), in its order.
@@ -63,40 +63,47 @@ def _gram_at(tok: Column, k: int):
     return gram
 
 
-def terms(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None = None, n: int = C.NGRAM_MAX) -> DataFrame:
-    """(id, term) for every term occurrence of every row.
+def term_array(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None = None, n: int = C.NGRAM_MAX) -> DataFrame:
+    """(id, _terms): every term occurrence of each row, in the row.
 
     The cleaned token array is its own projection so that the n-gram
     expression refers to it instead of re-tokenising the text."""
     tok = df.select(cols.id, clean_tokens(cols.text, stop).alias("_tok"))
-    return tok.select(cols.id, F.explode(ngrams(F.col("_tok"), n)).alias("term"))
+    return tok.select(cols.id, ngrams(F.col("_tok"), n).alias("_terms"))
+
 
+def terms(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None = None, n: int = C.NGRAM_MAX) -> DataFrame:
+    """(id, term) for every term occurrence of every row."""
+    return term_array(df, cols, stop, n).select(cols.id, F.explode("_terms").alias("term"))
 
-def term_counts(df: DataFrame, cols: Cols = COLS, stop=None, n: int = C.NGRAM_MAX) -> DataFrame:
-    """(id, term, tf) for every term of every row: the text is tokenised once, and
-    the vocabulary and the per-row counts below both read this one aggregate
-    (the planner reuses its shuffle)."""
-    return terms(df, cols, stop, n).groupBy(cols.id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
+def vocabulary(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None, n: int = C.NGRAM_MAX) -> DataFrame:
+    """The `k` most frequent terms over the corpus (ties: smaller term first), with their document frequency.
 
-def vocabulary(tc: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
-    """The `k` most frequent terms over the corpus (ties: smaller term first),
-    with their document frequency, from one aggregation of the per-row counts."""
-    counts = tc.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
+    One scan and one map-side-combined aggregation: each row gives its terms, and its distinct terms marked."""
+    once = F.transform(F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d")))
+    every = F.transform(F.col("_terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("d")))
+    marked = term_array(df, cols, stop, n).select(F.explode(F.concat(every, once)).alias("t")).select("t.term", "t.d")
+    counts = marked.groupBy("term").agg(F.sum(1 - F.col("d")).alias("freq"), F.sum("d").alias("df"))
     return counts.orderBy(F.desc("freq"), F.asc("term")).limit(k)
 
 
 def top_terms(term_df: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
-    """The `k` most frequent terms straight from the term stream (no per-row
-    counts needed): one map-side-combined aggregation and a top-k."""
+    """The `k` most frequent terms straight from the term stream: one
+    map-side-combined aggregation and a top-k."""
     counts = term_df.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
     return counts.orderBy(F.desc("freq"), F.asc("term")).limit(k)
 
 
-def term_freq(tc: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Per-row counts of the vocabulary terms; other terms are dropped."""
-    v = F.broadcast(vocab.select("term"))  # at most k rows
-    return tc.join(v, "term", "left_semi")
+def term_freq(df: DataFrame, vocab: DataFrame, cols: Cols = COLS, stop=None, n: int = C.NGRAM_MAX) -> DataFrame:
+    """(id, term, tf, and the other columns of `vocab`) per row and vocabulary term; other terms are dropped.
+
+    Rows are dealt out by id once, as text; counting within a row, and any window
+    over a row's terms after it, then needs no further exchange."""
+    own = df.select(cols.id, cols.text).repartition(cols.id)
+    keep = [c for c in vocab.columns if c != "term"]
+    kept = terms(own, cols, stop, n).join(F.broadcast(vocab), "term")  # at most k rows
+    return kept.groupBy(cols.id, "term", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
@@ -107,29 +114,21 @@ def idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def tfidf(tc: DataFrame, idf_df: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """tf·idf per (row, vocabulary term), L2-normalised per row.
+def fit_text(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None) -> DataFrame:
+    """Fitted vocabulary with idf: (term, df, idf); at most k rows."""
+    return idf(vocabulary(df, k, cols, stop), df)
+
 
-    The inner join with the (at most k-row, broadcast) idf table keeps only
-    vocabulary terms; the per-row norm is a window over one row's terms."""
+def tfidf(df: DataFrame, vocab_idf: DataFrame, cols: Cols = COLS, stop=None) -> DataFrame:
+    """tf·idf per (row, vocabulary term), L2-normalised per row; unknown terms are ignored."""
     from pyspark.sql import Window
 
     w = F.col("tf") * F.col("idf")
-    j = tc.join(F.broadcast(idf_df.select("term", "idf")), "term")
+    j = term_freq(df, vocab_idf.select("term", "idf"), cols, stop)
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(cols.id)))
     return j.select(cols.id, "term", "tf", (w / norm).alias("weight"))
 
 
-def fit_text(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None) -> DataFrame:
-    """Fitted vocabulary with idf: (term, df, idf); at most k rows."""
-    return idf(vocabulary(term_counts(df, cols, stop), k), df)
-
-
-def tfidf_apply(df: DataFrame, vocab_idf: DataFrame, cols: Cols = COLS, stop=None) -> DataFrame:
-    """Apply a fitted vocabulary + idf to other rows; unknown terms are ignored."""
-    return tfidf(term_counts(df, cols, stop), vocab_idf, cols)
-
-
 def vendor_index(train: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Training vendors in alphabetical order, 0-based."""
     r = dense_codes(train, cols.vendor, "_r")
@@ -168,15 +167,13 @@ def price_z(df: DataFrame, stats: DataFrame, col: str = "price_eur", out: str =
 
 
 def split_strat(
-    df: DataFrame, label: str, frac: float, seed: int = C.SEED, id_col: str = COLS.id, out: str = "is_test",
-    **rank_options,
+    df: DataFrame, label: str, frac: float, seed: int = C.SEED, id_col: str = COLS.id, out: str = "is_test", digits: int = 3
 ) -> DataFrame:
     """Stratified split: per label, the first round(frac·n) rows by md5(seed‖id) are test.
 
-    Exact sizes; skew-safe (a label with a third of the rows is spread over
-    many tasks, see `rank_within`)."""
+    Exact sizes; a label with a third of the rows is spread over many tasks, see `hash_rank`."""
     key = F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string")))
-    r = rank_within(df, [label], [key, F.col(id_col)], rn="_rn", group_size="_gn", **rank_options)
+    r = hash_rank(df, label, key, F.col(id_col), "_rn", "_gn", digits)
     return r.withColumn(out, F.col("_rn") <= F.round(F.lit(frac) * F.col("_gn"))).drop("_rn", "_gn")
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import COLS, Cols
-from ..session import checked_broadcast
 
 
 def specialty_codes(vendors: DataFrame, codes: DataFrame) -> DataFrame:
@@ -45,7 +44,7 @@ def fill_templates(
 def price_band(df: DataFrame, bands: DataFrame, code: str = COLS.label, default=C.DEFAULT_PRICE_BAND) -> DataFrame:
     """Price band of each row's subclass (first 5 characters of the code), with default."""
     b = bands.select(F.col("subclass").alias("_sub"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-    j = df.join(checked_broadcast(b), F.substring(code, 1, 5) == F.col("_sub"), "left")
+    j = df.join(b, F.substring(code, 1, 5) == F.col("_sub"), "left")
     return j.withColumns(
         {
             "subclass": F.substring(code, 1, 5),

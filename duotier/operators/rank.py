@@ -1,123 +1,49 @@
 """Exact row numbers without pulling a group into one task.
 
-A window `row_number() over (partition by g order by o)` sends every row of a
-group to one task; with one group holding a third of the data, that task
-holds a third of the data.  Here the (g, o) key space is cut into value ranges
-("buckets") by boundaries taken from a seeded sample.  The boundaries are
-sorted by Spark, collected once (at most `num_buckets` keys) and embedded in
-the plan as literals, so every recomputation assigns the same bucket.  A hot
-group spans many buckets.  Each row's number is its position inside its
-(bucket, group) plus the number of rows of its group in earlier buckets.  The
-count table has at most (buckets + groups) rows.
+`hash_rank` numbers the rows of a group by a hash of their key.  A window over
+the group would send all of it to one task; here rows are windowed within
+(group, first digits of the hash), and the sizes of those parts are summed up in
+a table of at most groups x 16**digits rows.  The same steps run at every size.
 
-Small inputs (up to `single_task_rows`) use one bucket: a plain window.
+`dense_codes` numbers distinct values in their order: Spark's own global sort and
+`zipWithIndex`, so no task holds more than its range of them.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_B, _POS, _CNT, _OFF = "_rk_b", "_rk_pos", "_rk_cnt", "_rk_off"
-
-
-def _search(key: Column, bounds: Column, n: int) -> Column:
-    """Number of the n sorted `bounds` strictly below `key`: a binary search of
-    ceil(log2(n + 1)) steps over one literal array."""
-    steps = max(1, math.ceil(math.log2(n + 1)))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = ((lo + hi) / 2).cast("int")
-        right = (lo < hi) & (F.try_element_at(bounds, mid + 1) < key)
-        left = (lo < hi) & ~right
-        return F.struct(
-            F.when(right, mid + 1).otherwise(lo).alias("lo"),
-            F.when(left, mid).otherwise(hi).alias("hi"),
-        )
+_H, _P, _POS, _CNT, _OFF = "_rk_h", "_rk_p", "_rk_pos", "_rk_cnt", "_rk_off"
 
-    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
 
-
-def _boundaries(df: DataFrame, keys: list[str], num_buckets: int, per_bucket: int, n: int, seed: int) -> list:
-    frac = min(1.0, num_buckets * per_bucket / max(n, 1))
-    # expected num_buckets * per_bucket keys; the limit makes that a hard bound on what reaches the driver
-    cap = 2 * num_buckets * per_bucket
-    sample = df.select(*keys).sample(fraction=frac, seed=seed).orderBy(*keys).limit(cap).collect()
-    if not sample:
-        return []
-    step = max(1, len(sample) // num_buckets)
-    picked, last = [], None
-    for i in range(step, len(sample), step):
-        t = tuple(sample[i])
-        if t != last:
-            picked.append(t)
-            last = t
-    return picked[: num_buckets - 1]
-
-
-def rank_within(
-    df: DataFrame,
-    by: list[str],
-    order: list[Column],
-    rn: str = "rn",
-    group_size: str | None = None,
-    num_buckets: int | None = None,
-    single_task_rows: int = 1_000_000,
-    per_bucket: int = 32,
-    max_groups: int = 100_000,
-    seed: int = 42,
+def hash_rank(
+    df: DataFrame, by: str, digest: Column, tie: Column, rn: str = "rn", group_size: str = "group_size", digits: int = 3
 ) -> DataFrame:
-    """Add `rn` (1-based position of each row in its `by` group by `order`).
-
-    `order` must be a total order inside each group (end it with a unique key)
-    so the numbering is deterministic; group keys must not be NULL.
-    Optionally add `group_size` (rows in the group)."""
-    spark = df.sparkSession
-    ocols = [f"_rk_o{i}" for i in range(len(order))]
-    base = df.withColumns(dict(zip(ocols, order)))
-    keys = list(by) + ocols
-    n = base.count() if single_task_rows is not None else None
-    bounds = []
-    if n is not None and n > single_task_rows:
-        nb = num_buckets or min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-        bounds = _boundaries(base, keys, nb, per_bucket, n, seed)
-    if bounds:
-        types = [base.schema[c].dataType for c in keys]
-        key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
-        lits = [
-            F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds
-        ]
-        bucket = _search(key, F.array(*lits), len(lits))
-    else:
-        bucket = F.lit(0)
-    tagged = base.withColumn(_B, bucket).withColumn(
-        _POS, F.row_number().over(Window.partitionBy(_B, *by).orderBy(*[F.col(c) for c in keys]))
+    """Add `rn`, the 1-based place of each row in its group by (digest, tie), and the group's size.
+
+    `digest` is text in hexadecimal digits, spread evenly; a group's rows are dealt to 16**digits parts."""
+    tagged = df.withColumn(_H, digest).withColumn(_P, F.substring(_H, 1, digits))
+    inside = Window.partitionBy(by, _P).orderBy(_H, tie)
+    tagged = tagged.withColumn(_POS, F.row_number().over(inside))
+    counts = tagged.groupBy(by, _P).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.partitionBy(by).orderBy(_P)
+    counts = counts.select(
+        F.col(by).alias("_rk_by"), F.col(_P).alias("_rk_part"),
+        (F.sum(_CNT).over(before) - F.col(_CNT)).alias(_OFF),
+        F.sum(_CNT).over(Window.partitionBy(by)).alias(group_size),
     )
-    counts = tagged.groupBy(_B, *by).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.partitionBy(*by).orderBy(_B) if by else Window.orderBy(_B)
-    counts = counts.withColumn(_OFF, F.sum(_CNT).over(before) - F.col(_CNT))
-    if group_size:
-        whole = Window.partitionBy(*by) if by else Window.partitionBy()
-        counts = counts.withColumn(group_size, F.sum(_CNT).over(whole))
-    counts = counts.drop(_CNT)
-    if not by or base.select(*by).distinct().limit(max_groups + 1).count() <= max_groups:
-        # proven: at most buckets + max_groups rows
-        counts = F.broadcast(counts)
-    out = tagged.join(counts, [_B, *by], "inner").withColumn(rn, F.col(_OFF) + F.col(_POS)).drop(
-        _B, _POS, _OFF, *ocols
+    same = F.col(by).eqNullSafe(F.col("_rk_by")) & (F.col(_P) == F.col("_rk_part"))
+    return (
+        tagged.join(counts, same)
+        .withColumn(rn, F.col(_OFF) + F.col(_POS))
+        .drop(_H, _P, _POS, _OFF, "_rk_by", "_rk_part")
     )
-    if not bounds and by:
-        # one range: the window left each group in one partition; a small input
-        # (at most single_task_rows rows) is spread again for what follows
-        out = out.repartition(spark.sparkContext.defaultParallelism)
-    return out
 
 
 def dense_codes(df: DataFrame, col: str, rank_col: str) -> DataFrame:
     """Distinct values of `col` with their 1-based rank in ascending order."""
-    distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return rank_within(distinct, [], [F.col(col)], rn=rank_col)
+    distinct = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+    schema = T.StructType([distinct.schema[col], T.StructField(rank_col, T.LongType(), False)])
+    return df.sparkSession.createDataFrame(distinct.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1] + 1)), schema)

@@ -19,10 +19,13 @@ def kept_rows(labeled: DataFrame, corrections: DataFrame, cols: Cols = COLS) ->
     return labeled.join(corrections.select(cols.id), cols.id, "left_anti")
 
 
-def first_classified(classified: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """One output row per id (the smallest row if an id appears twice)."""
+def first_classified(classified: DataFrame, corrections: DataFrame, cols: Cols = COLS) -> DataFrame:
+    """One output row per corrected id (the smallest row if an id appears twice).
+
+    The output is cut down to the corrected ids before anything is grouped."""
     keep = [cols.vendor, cols.text, cols.price, cols.currency]
-    return classified.groupBy(cols.id).agg(F.min(F.struct(*keep)).alias("_r")).select(
+    own = classified.select(cols.id, *keep).join(corrections.select(cols.id), cols.id, "left_semi")
+    return own.groupBy(cols.id).agg(F.min(F.struct(*keep)).alias("_r")).select(
         cols.id, *[F.col(f"_r.{c}").alias(c) for c in keep]
     )
 
@@ -45,9 +48,9 @@ def corrected_rows(
         c = c.groupBy(cols.id).agg(
             F.max(F.struct("correction_date", "corrected_code")).alias("_c")
         ).select(cols.id, F.col("_c.corrected_code").alias("corrected_code"))
-    j = c.select(cols.id, "corrected_code").join(first_classified(classified, cols), cols.id, "inner")
+    j = c.select(cols.id, "corrected_code").join(first_classified(classified, corrections, cols), cols.id, "inner")
     if items is not None:
-        extra = items.groupBy(cols.id).agg(
+        extra = items.join(corrections.select(cols.id), cols.id, "left_semi").groupBy(cols.id).agg(
             F.min(F.struct("vendor_country", "created_date")).alias("_i")
         ).select(cols.id, F.col("_i.vendor_country").alias("vendor_country"), F.col("_i.created_date").alias("created_date"))
         j = j.join(extra, cols.id, "left")
@@ -77,7 +80,7 @@ def augment(
 
 def augment_report(classified: DataFrame, corrections: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Corrections received, applied, and dropped for an unknown id."""
-    known = first_classified(classified, cols).select(cols.id, F.lit(True).alias("_known"))
+    known = first_classified(classified, corrections, cols).select(cols.id, F.lit(True).alias("_known"))
     j = corrections.join(known, cols.id, "left")
     return j.agg(
         F.count(F.lit(1)).alias("n_corrections"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import COLS, Cols
 from ..functions.text import distinct_tokens
-from ..session import checked_broadcast
+from .overlap import best_overlap
 
 
 def labels_from_spec(spark: SparkSession, spec) -> DataFrame:
@@ -35,20 +35,9 @@ def labels_from_spec(spark: SparkSession, spec) -> DataFrame:
 
 def zero_shot(df: DataFrame, labels: DataFrame, cols: Cols = COLS, out: str = "label") -> DataFrame:
     """Best label per row by shared distinct tokens (label text + description)."""
-    lab_tok = labels.select(
-        F.col("label").alias("_label"),
-        F.col("ordinal").alias("_ord"),
-        F.explode(distinct_tokens(F.concat_ws(" ", "label", "description"))).alias("token"),
-    ).distinct()
-    row_tok = df.select(cols.id, F.explode(distinct_tokens(cols.text)).alias("token"))
-    scores = (
-        row_tok.join(checked_broadcast(lab_tok), "token")
-        .groupBy(cols.id, "_label", "_ord")
-        .agg(F.count(F.lit(1)).alias("_score"))
-    )
-    best = scores.groupBy(cols.id).agg(
-        F.min(F.struct((-F.col("_score")).alias("neg"), F.col("_ord").alias("ord"), F.col("_label").alias("label"))).alias("_b")
-    )
-    return df.select(cols.id).join(
-        best.select(cols.id, F.col("_b.label").alias(out), (-F.col("_b.neg")).alias("score")), cols.id, "left"
+    targets = labels.select(
+        F.col("label").alias("name"), F.col("ordinal").alias("ord"),
+        distinct_tokens(F.concat_ws(" ", "label", "description")).alias("tokens"),
     )
+    best = best_overlap(df, cols.id, distinct_tokens(cols.text), targets)
+    return best.select(cols.id, F.col("name").alias(out), "score")

@@ -424,30 +424,26 @@ def q_vocab_topk(spark, d):
 
 @query("term_freq")
 def q_term_freq(spark, d):
-    tc = features.term_counts(A.docs(spark, d))
-    return features.term_freq(tc, features.vocabulary(tc))
+    docs = A.docs(spark, d)
+    return features.term_freq(docs, features.vocabulary(docs).select("term"))
 
 
 @query("idf")
 def q_idf(spark, d):
-    docs = A.docs(spark, d)
-    out = features.idf(features.vocabulary(features.term_counts(docs)), docs)
-    return out.withColumn("idf", F.round("idf", 9))
+    return features.fit_text(A.docs(spark, d)).withColumn("idf", F.round("idf", 9))
 
 
 @query("tfidf")
 def q_tfidf(spark, d):
     docs = A.docs(spark, d)
-    tc = features.term_counts(docs)
-    return features.tfidf(tc, features.idf(features.vocabulary(tc), docs)).withColumn("weight", F.round("weight", 9))
+    return features.tfidf(docs, features.fit_text(docs)).withColumn("weight", F.round("weight", 9))
 
 
 @query("tfidf_apply")
 def q_tfidf_apply(spark, d):
     """Vocabulary fitted on the training items, applied to the routed new items."""
     fitted = features.fit_text(A.labeled(spark, d))
-    routed = gate.route(A.scored(spark, d))
-    return features.tfidf_apply(routed, fitted).withColumn("weight", F.round("weight", 9))
+    return features.tfidf(gate.route(A.scored(spark, d)), fitted).withColumn("weight", F.round("weight", 9))
 
 
 @query("vendor_onehot")

@@ -1,18 +1,14 @@
-"""Session set-up, namespace bootstrap, shared storage and size-checked broadcast."""
+"""Session set-up, namespace bootstrap and shared storage."""
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 ROOT_CONF = "duotier.root"
 SCHEMA_CONF = "duotier.schema"
 DEFAULT_SCHEMA = "duotier"
-# Largest side (rows) that `checked_broadcast` will ship to every executor.
-BROADCAST_MAX_ROWS_CONF = "duotier.broadcast.maxRows"
-BROADCAST_MAX_ROWS = 100_000
 
 
 def local_session(
@@ -97,36 +93,3 @@ def bootstrap(spark: SparkSession, schema: str | None = None) -> str:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
     spark.sql(f"USE `{schema}`")
     return schema
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast `df` only after proving it has at most `max_rows` rows.
-
-    The check is a bounded job (`limit(max_rows + 1).count()`).  Beyond the
-    bound the frame is returned unchanged and the planner picks a shuffle join.
-    """
-    spark = df.sparkSession
-    if max_rows is None:
-        try:
-            max_rows = int(spark.conf.get(BROADCAST_MAX_ROWS_CONF))
-        except Exception:
-            max_rows = BROADCAST_MAX_ROWS
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def literal_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small frame from literal rows (bounded by construction, safe to broadcast)."""
-    return spark.createDataFrame(rows, schema)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it has fewer partitions than cores.
-
-    Large inputs already arrive in many splits and are left alone; a small
-    file with one row group (one task) is spread before CPU-heavy per-row work."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

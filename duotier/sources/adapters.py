@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators.rank import dense_codes
-from ..session import checked_broadcast, spread
 
 # fixed value: the currency cycle assigned to items by part size
 CURRENCY_CYCLE = "EUR,USD,ISK,SEK,NOK,DKK,GBP,CHF"
@@ -91,9 +90,9 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     c = codes(spark, d).select("adj", "noun", "code")
     return (
-        p.join(checked_broadcast(n), F.col("n_nationkey") == F.col("p_partkey") % 25)
+        p.join(n, F.col("n_nationkey") == F.col("p_partkey") % 25)
         .join(
-            checked_broadcast(c),
+            c,
             (F.split_part("p_name", F.lit(" "), F.lit(1)) == F.col("adj"))
             & (F.split_part("p_name", F.lit(" "), F.lit(2)) == F.col("noun")),
         )
@@ -225,11 +224,8 @@ def vendors(spark: SparkSession, d: str) -> DataFrame:
 
 @_memo
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as items: language is the class to learn (model tier).
-
-    Text work per document is CPU-heavy, so a scan with fewer splits than
-    cores is spread first (a no-op for large inputs)."""
-    return spread(table(spark, d, "documents")).select(
+    """Documents as items: language is the class to learn (model tier)."""
+    return table(spark, d, "documents").select(
         F.col("doc_id").alias("item_id"),
         F.col("source").alias("vendor_name"),
         F.col("text").alias("product_description"),

@@ -29,14 +29,14 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in p
 
 
-def test_split_windows_are_per_bucket_and_label(spark):
+def test_split_windows_are_per_part_and_label(spark):
     lab = A.labeled(spark, SF["tiny"])
-    df = features.split_strat(lab, "code", 0.25, num_buckets=8, single_task_rows=10)
+    df = features.split_strat(lab, "code", 0.25)
     p = plan(df)
-    plain = features.split_strat(lab, "code", 0.25)
-    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, plain.collect()))
-    # row numbers are taken per (value-range bucket, label), never per label alone
-    assert "windowspecdefinition(_rk_b" in p
+    other = features.split_strat(lab, "code", 0.25, digits=1)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, other.collect()))
+    # row numbers are taken per (label, part of the hash), never per label alone
+    assert "windowspecdefinition(code" in p and "_rk_p" in p
 
 
 def test_lexical_answerer_broadcasts_code_tokens(spark):
@@ -44,26 +44,19 @@ def test_lexical_answerer_broadcasts_code_tokens(spark):
     assert "BroadcastHashJoin" in p
 
 
-def test_checked_broadcast_only_within_the_bound(spark):
-    from duotier.session import checked_broadcast
+def test_a_token_of_all_codes_makes_no_pairs(spark):
+    from duotier.operators.overlap import best_overlap
+    from pyspark.sql import functions as F
 
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(checked_broadcast(small, max_rows=10), "k")
-        assert "BroadcastHashJoin" in plan(hinted)
-        refused = big.join(checked_broadcast(small, max_rows=5), "k")
-        assert "BroadcastHashJoin" not in plan(refused)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    targets = spark.createDataFrame([(f"c{i}", i, ["every", f"own{i}"]) for i in range(50)], "name string, ord int, tokens array<string>")
+    rows = spark.createDataFrame([(i, ["every", f"own{i}"] if i < 50 else ["every"] if i < 60 else ["none"]) for i in range(70)], "id int, tok array<string>")
+    got = {r.id: (r.name, r.score) for r in best_overlap(rows, "id", F.col("tok"), targets).collect()}
+    assert got == {i: (f"c{i}", 2) if i < 50 else ("c0", 1) if i < 60 else (None, None) for i in range(70)}
+    each = targets.select(F.explode("tokens").alias("token"))
+    joined = rows.select("id", F.explode("tok").alias("token")).join(each.groupBy("token").count().where("count < 50"), "token")
+    assert joined.count() == 50
 
 
-def test_spread_only_splits_small_scans(spark):
-    from duotier.session import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores * 2)
-    assert spread(many).rdd.getNumPartitions() == cores * 2
+def test_feedback_groups_corrected_ids_only(spark):
+    p = plan(QUERIES["augment_report"](spark, SF["tiny"]))
+    assert "LeftSemi" in p
