@@ -56,13 +56,13 @@ OVERRIDE_PCT_CEILING = 50.0
 WEAK_CODE_FLOOR = 0.70
 MIN_CORRECTIONS = 10
 
-# Confidence bands: (ordinal, label, lower bound inclusive, upper bound exclusive, action).
+# Confidence bands: (ordinal, label, lower bound inclusive, upper bound exclusive, action in our words).
 CONFIDENCE_BANDS = [
-    (1, "High (>=0.95)", 0.95, None, "ML accepted"),
-    (2, "Good (0.85-0.95)", 0.85, 0.95, "ML accepted"),
-    (3, "Medium (0.70-0.85)", 0.70, 0.85, "-> LLM fallback"),
-    (4, "Low (0.50-0.70)", 0.50, 0.70, "-> LLM fallback"),
-    (5, "Very Low (<0.50)", None, 0.50, "-> LLM fallback"),
+    (1, "High (>=0.95)", 0.95, None, "kept as predicted"),
+    (2, "Good (0.85-0.95)", 0.85, 0.95, "kept as predicted"),
+    (3, "Medium (0.70-0.85)", 0.70, 0.85, "goes to the language model"),
+    (4, "Low (0.50-0.70)", 0.50, 0.70, "goes to the language model"),
+    (5, "Very Low (<0.50)", None, 0.50, "goes to the language model"),
 ]
 
 # Default price band for a subclass without one.
@@ -73,9 +73,6 @@ VOCAB_SIZE = 500
 NGRAM_MAX = 2
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
-# Answer contract returned by the language model.
-ANSWER_FIELDS = ("iso_code", "reason", "agrees_with_ml")
-
 # Model candidates (sizes of the full configuration).
 LR_MAX_ITER = 1000
 LR_C = 1.0

@@ -9,7 +9,7 @@ it is reading.
 from __future__ import annotations
 
 import json
-import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ VERSION_SCHEMA = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("threshold", T.DoubleType()),
         T.StructField("description", T.StringType()),
+        T.StructField("run_id", T.StringType()),
         T.StructField("created_at", T.TimestampType()),
     ]
 )
@@ -64,8 +65,8 @@ def select_best(runs: DataFrame) -> DataFrame:
 
 
 def latest(versions: DataFrame) -> DataFrame:
-    """Numeric maximum of the version column."""
-    return versions.agg(F.max(F.col("version").cast("int")).alias("latest_version"))
+    """Numeric maximum of the version column, whose values may be text ("10" is after "9")."""
+    return versions.agg(F.max(F.expr("try_cast(version AS INT)")).alias("latest_version"))
 
 
 def current_aliases(alias_log: DataFrame) -> DataFrame:
@@ -114,7 +115,7 @@ def runs_table(spark: SparkSession) -> DataFrame:
 
 
 def log_run(spark: SparkSession, algorithm: str, params: dict, metrics: dict) -> str:
-    run_id = f"{algorithm}-{int(time.time() * 1000)}"
+    run_id = f"{algorithm}-{uuid.uuid4().hex}"
     row = [(run_id, algorithm, {k: json.dumps(v) if not isinstance(v, str) else v for k, v in params.items()},
             {k: float(v) for k, v in metrics.items()}, None)]
     df = spark.createDataFrame(row, RUN_SCHEMA).withColumn("logged_at", F.current_timestamp())
@@ -123,16 +124,35 @@ def log_run(spark: SparkSession, algorithm: str, params: dict, metrics: dict) ->
 
 
 def register(spark: SparkSession, model, algorithm: str, accuracy: float, threshold: float = C.CONFIDENCE_THRESHOLD,
-             description: str = "") -> int:
-    """Save the fitted pipeline under the next version and add its version row."""
+             description: str = "", run_id: str | None = None, tries: int = 20) -> int:
+    """Save the fitted pipeline under the next free version and add its version row, linked to its run.
+
+    A folder that exists belongs to another writer: its number is passed over."""
     v = versions_table(spark).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    path = f"{sinks.table_path(spark, 'models')}/v{v}"
-    model.write().overwrite().save(path)
-    row = [(int(v), algorithm, float(accuracy), path, float(threshold), description, None)]
+    for v in range(v, v + tries):
+        path = f"{sinks.table_path(spark, 'models')}/v{v}"
+        if not sinks.table_exists(spark, path):
+            model.save(path)
+            break
+    else:
+        raise RuntimeError(f"no free model version after {tries} tries")
+    row = [(int(v), algorithm, float(accuracy), path, float(threshold), description, run_id, None)]
     sinks.append_table(spark.createDataFrame(row, VERSION_SCHEMA).withColumn("created_at", F.current_timestamp()), VERSIONS)
     return int(v)
 
 
+def run_of(spark: SparkSession, alias: str) -> DataFrame:
+    """The logged run behind an alias: alias → version → run, with its parameters and metrics."""
+    row = resolve(current_aliases(alias_log_table(spark)), versions_table(spark), alias)
+    return row.select("alias", "version", "run_id").join(runs_table(spark), "run_id")
+
+
+def stored_threshold(spark: SparkSession, alias: str = C.CHAMPION) -> float | None:
+    """The gate threshold registered with the version an alias points to."""
+    row = resolve(current_aliases(alias_log_table(spark)), versions_table(spark), alias).first()
+    return None if row is None else row["threshold"]
+
+
 def point_alias(spark: SparkSession, alias: str, version: int) -> None:
     sinks.append_table(set_alias(alias_log_table(spark), alias, version), ALIASES)
 

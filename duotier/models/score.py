@@ -63,7 +63,7 @@ def score_udf(
 
     `predict_fn(model_obj, pandas_frame_of_feature_cols) -> pandas DataFrame`
     with the columns of `out_schema`.  `model_obj` is pickled once into a
-    broadcast variable and unpickled once per Python worker."""
+    broadcast variable and unpickled once per task."""
     spark = df.sparkSession
     blob = spark.sparkContext.broadcast(pickle.dumps(model_obj))
     cache: dict = {}

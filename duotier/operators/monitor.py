@@ -138,16 +138,21 @@ def inference_profile(
     prediction: str = COLS.final,
     measure: str = COLS.final_confidence,
     every: str = "1 day",
-    measure_decimals: int = C.CONFIDENCE_DECIMALS,
+    measure_decimals: int | None = None,
 ) -> DataFrame:
     """Per time bucket and model version: rows, distinct predictions, share of
-    missing predictions and the mean of `measure` (exact for fixed decimals)."""
+    missing predictions and the mean of `measure`.
+
+    `measure_decimals` makes the mean an exact ratio of whole numbers, for a
+    measure stored with that many decimals."""
+    exact = measure_decimals is not None
+    total = scaled_sum(measure, measure_decimals) if exact else F.sum(measure)
     g = df.groupBy(F.window(ts, every).alias("w"), F.col(version).alias("model_version")).agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct(prediction).alias("n_predictions"),
         F.count_if(F.col(prediction).isNull()).alias("_n_null"),
         F.count(measure).alias("_n_m"),
-        scaled_sum(measure, measure_decimals).alias("_s_m"),
+        total.alias("_s_m"),
     )
     return g.select(
         F.col("w.start").cast("date").alias("bucket"),
@@ -155,5 +160,5 @@ def inference_profile(
         "n",
         "n_predictions",
         exact_ratio("_n_null", "n").alias("null_rate"),
-        exact_ratio("_s_m", F.col("_n_m") * 10**measure_decimals).alias("mean_measure"),
+        exact_ratio("_s_m", F.col("_n_m") * (10**measure_decimals if exact else 1)).alias("mean_measure"),
     )

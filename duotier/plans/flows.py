@@ -44,7 +44,7 @@ def run_scoring(
     answers_table: str,
     output_table: str,
     answerer=None,
-    t: float = C.CONFIDENCE_THRESHOLD,
+    t: float | None = None,
     run_ts: str = RUN_TS,
     model_version: str = MODEL_VERSION,
     cols: Cols = COLS,
@@ -55,12 +55,21 @@ def run_scoring(
     Default: the output table is replaced each run.  With `run_id`, rows get a
     `run_id` column and are appended, so earlier runs stay visible to monitoring.
 
+    `t=None` gates at the threshold registered with the Champion, or the configured one without a Champion.
+    Stored answers are keyed by item and run: with `run_id` they are appended with it.
+
     `answerer=None` uses the bundled lexical answerer; otherwise a callable over
     a pandas Series of prompts (run in error mode).  Answers are written
     before they are parsed so a re-read never calls the model again."""
+    from pyspark.sql import functions as F
+
+    from ..models import registry
     from ..sources import sinks
 
     spark = scored.sparkSession
+    if t is None:
+        stored_t = registry.stored_threshold(spark)
+        t = C.CONFIDENCE_THRESHOLD if stored_t is None else stored_t
     # the scored rows feed both branches: write them once (the model runs once,
     # and a lost executor re-reads the table instead of re-scoring)
     scored_table = f"{output_table}__scored" + (f"_{run_id}" if run_id else "")
@@ -71,8 +80,12 @@ def run_scoring(
         ans = answers.lexical_answers(routed, codes, cols)
     else:
         ans = answers.answer(answers.prompts(routed, codes, cols), answerer, error_mode=True, id_col=cols.id)
-    sinks.save_table(ans, answers_table)
-    stored = sinks.read_table(spark, answers_table)
+    if run_id is None:
+        sinks.save_table(ans, answers_table)
+        stored = sinks.read_table(spark, answers_table)
+    else:
+        sinks.append_table(ans.withColumn("run_id", F.lit(run_id)), answers_table)
+        stored = sinks.read_table(spark, answers_table).where(F.col("run_id") == run_id).drop("run_id")
     out = merge.merge(
         gate.accept(scored, t, cols),
         answers.fallback(routed, answers.parse(stored, cols.id), cols=cols),
@@ -83,7 +96,5 @@ def run_scoring(
     if run_id is None:
         sinks.save_table(out, output_table)
     else:
-        from pyspark.sql import functions as F
-
         sinks.append_table(out.withColumn("run_id", F.lit(run_id)), output_table)
     return sinks.read_table(spark, output_table)

@@ -252,11 +252,12 @@ r_raw AS (
   FROM scored_v s LEFT JOIN r_top t USING (vendor_name)
 ),
 runs AS (SELECT version, ordinal, algorithm, n, n_correct, {_ratio('n_correct', 'n')} AS accuracy FROM r_raw),
+history AS (SELECT DISTINCT CAST(k % 12 + 1 AS VARCHAR) AS version FROM scored_v),
 best AS (SELECT algorithm AS best_algorithm, version AS best_version FROM runs ORDER BY accuracy DESC, ordinal LIMIT 1),
 aliases AS (
   SELECT 'Champion' AS alias, CAST((SELECT best_version FROM best) AS INTEGER) AS version
   UNION ALL
-  SELECT 'Challenger', CAST((SELECT max(version) FROM runs) AS INTEGER)
+  SELECT 'Challenger', (SELECT max(CAST(version AS INTEGER)) FROM history)
 )"""
 
 
@@ -328,17 +329,14 @@ _LINE = "concat('- ', code, ': ', coalesce(name, ''), ' — ', coalesce(descript
 BLOCK = f"block_v AS (SELECT string_agg({_LINE}, chr(10) ORDER BY code) AS reference FROM codes_v)"
 SQL["reference_block"] = _q("SELECT reference FROM block_v", BLOCK)
 SQL["llm_prompts"] = _q(
-    """SELECT r.item_id, concat(
-  'You classify vendor items into the codes of a product taxonomy.', chr(10), chr(10), 'ITEM DETAILS:', chr(10),
-  '- Description: ', coalesce(r.product_description, ''), chr(10),
-  '- Vendor: ', coalesce(r.vendor_name, ''), chr(10),
-  '- Price: ', coalesce(CAST(CAST(r.unit_price AS DECIMAL(18,2)) AS VARCHAR), ''), ' ', coalesce(r.currency, ''), chr(10),
-  '- Model suggestion: ', coalesce(r.ml_predicted_code, ''),
-  ' (confidence: ', coalesce(CAST(round(CAST(r.ml_confidence AS DECIMAL(8,4)), 2) AS VARCHAR), ''), ')', chr(10), chr(10),
-  'AVAILABLE CODES:', chr(10), coalesce((SELECT reference FROM block_v), ''), chr(10), chr(10),
-  'Return only the best matching code and a short reason.') AS prompt
-FROM routed_v r""",
-    BLOCK,
+    """SELECT r.item_id, concat('Pick the one code that fits a purchase line.', chr(10), chr(10), 'Codes:', chr(10),
+  (SELECT string_agg(concat('- ', code, ': ', name, ' — ', description), chr(10) ORDER BY code) FROM codes_v), chr(10), chr(10),
+  'Line: ', coalesce(r.product_description, ''), chr(10), 'Sold by: ', coalesce(r.vendor_name, ''), chr(10),
+  'Paid: ', coalesce(CAST(CAST(r.unit_price AS DECIMAL(18,2)) AS VARCHAR), ''), ' ', coalesce(r.currency, ''), chr(10),
+  'A classifier guessed ', coalesce(r.ml_predicted_code, ''), ' and is ',
+  coalesce(CAST(round(CAST(r.ml_confidence AS DECIMAL(8,4)), 2) AS VARCHAR), ''), ' sure.', chr(10), chr(10),
+  'Reply in JSON: iso_code, reason, agrees_with_ml.') AS prompt
+FROM routed_v r"""
 )
 SQL["llm_answers"] = _q("SELECT item_id, response FROM lx_ans", _lexical("routed_v"))
 SQL["llm_validate"] = _q(
@@ -585,7 +583,7 @@ SQL["model_runs"] = _q("SELECT * FROM runs", _rule_runs())
 SQL["select_best"] = _q(
     "SELECT best_algorithm, best_version, (SELECT max(accuracy) FROM runs) AS best_accuracy FROM best", _rule_runs()
 )
-SQL["latest_version"] = _q("SELECT CAST(max(version) AS INTEGER) AS latest_version FROM runs", _rule_runs())
+SQL["latest_version"] = _q("SELECT max(CAST(version AS INTEGER)) AS latest_version FROM history", _rule_runs())
 SQL["alias_upsert"] = _q("SELECT alias, version FROM aliases", _rule_runs())
 SQL["resolve_alias"] = _q(
     "SELECT r.version, a.alias, r.ordinal, r.algorithm, r.n, r.n_correct, r.accuracy FROM aliases a JOIN runs r USING (version) WHERE a.alias = 'Champion'",

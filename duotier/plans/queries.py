@@ -304,7 +304,7 @@ def q_inference_profile(spark, d):
 
 @query("classified_profile")
 def q_classified_profile(spark, d):
-    return monitor.inference_profile(_classified(spark, d))
+    return monitor.inference_profile(_classified(spark, d), measure_decimals=C.CONFIDENCE_DECIMALS)
 
 
 # --- feedback -------------------------------------------------------------------
@@ -507,9 +507,11 @@ def q_select_best(spark, d):
 
 @query("latest_version")
 def q_latest_version(spark, d):
+    """Numeric maximum of text versions."""
     from ..models import registry
+    from . import registry_queries as R
 
-    return registry.latest(_rule_runs(spark, d).select("version"))
+    return registry.latest(R.version_history(spark, d))
 
 
 @query("alias_upsert")

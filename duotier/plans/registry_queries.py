@@ -20,51 +20,55 @@ from ..operators import answers
 from ..sources import adapters as A
 
 
-def _accuracy(pred: DataFrame, pred_col: str, truth_col: str = COLS.truth) -> DataFrame:
-    ok = F.coalesce(F.col(pred_col) == F.col(truth_col), F.lit(False))
-    return pred.agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_correct"))
+RULES = ("stored_guess", "lexical", "vendor_majority")
 
 
 def rule_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and hits of the three rule models, from one aggregation over the scored items."""
     s = A.scored(spark, d)
-    r1 = _accuracy(s, COLS.predicted)
-    lex = answers.parse(answers.lexical_answers(s, A.codes(spark, d)))
-    r2 = _accuracy(s.join(lex, "item_id", "left"), "llm_code")
+    lex = answers.parse(answers.lexical_answers(s, A.codes(spark, d))).select("item_id", "llm_code")
     counts = A.labeled(spark, d).groupBy("vendor_name", "code").agg(F.count(F.lit(1)).alias("_n"))
     top = counts.groupBy("vendor_name").agg(
         F.min(F.struct((-F.col("_n")).alias("neg"), F.col("code").alias("code"))).alias("_b")
     ).select("vendor_name", F.col("_b.code").alias("majority_code"))
-    r3 = _accuracy(s.join(top, "vendor_name", "left"), "majority_code")
-    runs = None
-    for i, (name, r) in enumerate([("stored_guess", r1), ("lexical", r2), ("vendor_majority", r3)], start=1):
-        one = r.select(
-            F.lit(i).alias("version"), F.lit(i).alias("ordinal"), F.lit(name).alias("algorithm"),
-            "n", "n_correct", exact_ratio("n_correct", "n").alias("accuracy"),
-        )
-        runs = one if runs is None else runs.unionByName(one)
-    return runs
+    hit = lambda c: F.count_if(F.coalesce(F.col(c) == F.col(COLS.truth), F.lit(False)))
+    one = s.join(lex, "item_id", "left").join(top, "vendor_name", "left").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(hit(COLS.predicted), hit("llm_code"), hit("majority_code")).alias("hits"),
+    )
+    each = one.select("n", F.posexplode("hits").alias("i", "n_correct"))
+    name = F.element_at(F.array(*[F.lit(r) for r in RULES]), F.col("i") + 1)
+    return each.select(
+        (F.col("i") + 1).alias("version"), (F.col("i") + 1).alias("ordinal"), name.alias("algorithm"),
+        "n", "n_correct", exact_ratio("n_correct", "n").alias("accuracy"),
+    )
+
+
+def version_history(spark: SparkSession, d: str) -> DataFrame:
+    """Versions that scored the items, as text: "10" sorts before "9" unless compared as numbers."""
+    return A.scored(spark, d).select((F.col("k") % 12 + 1).cast("string").alias("version")).distinct()
 
 
 def aliases_after(spark: SparkSession, d: str) -> DataFrame:
     """Start: Champion → version 1.  After comparison: Champion → best version,
-    Challenger → the latest version."""
-    runs = rule_runs(spark, d)
+    Challenger → the latest version that scored items."""
     start = spark.range(1).select(F.lit(C.CHAMPION).alias("alias"), F.lit(1).alias("version"))
-    best = registry.select_best(runs).select("best_version").scalar()
-    newest = registry.latest(runs).select("latest_version").scalar()
+    best = registry.select_best(rule_runs(spark, d)).select("best_version").scalar()
+    newest = registry.latest(version_history(spark, d)).select("latest_version").scalar()
     a = registry.upsert_alias(start, C.CHAMPION, best)
     return registry.upsert_alias(a, C.CHALLENGER, newest)
 
 
 def promotion_check(spark: SparkSession, d: str) -> DataFrame:
     """The latest candidate against the first (Champion): promoted when not worse."""
-    from ..operators.retrain import promotion
-
     runs = rule_runs(spark, d)
-    newest = runs.where(F.col("version") == registry.latest(runs).select("latest_version").scalar())
-    champion = runs.where(F.col("version") == 1)
-    p = promotion(newest.select("accuracy"), champion.select("accuracy"))
-    return p.select(
-        "old_accuracy", "new_accuracy", "promoted",
-        F.when(F.col("promoted"), F.lit(C.CHAMPION)).otherwise(F.lit(C.CHALLENGER)).alias("new_alias"),
+    # both from one pass: three rows
+    both = runs.agg(
+        F.max_by("accuracy", "version").alias("accuracy"), F.max(F.when(F.col("version") == 1, F.col("accuracy"))).alias("first")
+    )
+    old = F.coalesce("first", F.lit(0.0))
+    promoted = F.col("accuracy") >= old
+    return both.select(
+        old.alias("old_accuracy"), F.col("accuracy").alias("new_accuracy"), promoted.alias("promoted"),
+        F.when(promoted, F.lit(C.CHAMPION)).otherwise(F.lit(C.CHALLENGER)).alias("new_alias"),
     )

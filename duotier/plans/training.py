@@ -13,8 +13,10 @@ from .. import config as C
 from ..config import COLS, Cols
 from ..models import models as M
 from ..models import registry
-from ..models.features_ml import fit_features
+from ..models.features_ml import fit_features, label_names, stage
+from ..operators import gate
 from ..operators.features import split_strat
+from ..sources import sinks
 
 
 def prepare(df: DataFrame, frac: float, fit_on: str = "all", cols: Cols = COLS, vocab_size: int = C.VOCAB_SIZE):
@@ -31,6 +33,15 @@ def compare_models(
     only: list[str] | None = None, cols: Cols = COLS,
 ):
     """(runs, fitted, features_model): every candidate on one cached feature frame."""
+    runs, fitted, fm, _ = compare_with_holdout(labeled, size, frac, fit_on, only, cols)
+    return runs, fitted, fm
+
+
+def compare_with_holdout(
+    labeled: DataFrame, size: str = "full", frac: float = C.TRAIN_TEST_FRACTION, fit_on: str = "all",
+    only: list[str] | None = None, cols: Cols = COLS,
+):
+    """As `compare_models`, and the holdout's features and labels."""
     fm, feats, split = prepare(labeled, frac, fit_on, cols)
     feats = feats.select("features", "label", "is_test").persist()
     n_train = feats.where(~F.col("is_test")).count()
@@ -40,7 +51,13 @@ def compare_models(
         est = {k: v for k, v in est.items() if k in only}
     runs, fitted = M.compare(feats, F.col("is_test"), est)
     feats.unpersist()
-    return runs, fitted, fm
+    return runs, fitted, fm, feats.where("is_test").select("features", "label")
+
+
+def winner_bands(runs: DataFrame, fitted: dict, holdout: DataFrame) -> tuple[str, DataFrame]:
+    """The best candidate's name, and the confidence bands of its holdout predictions, not rounded."""
+    best = registry.select_best(runs.withColumn("version", F.col("ordinal"))).first()["best_algorithm"]
+    return best, gate.bands(M.confidence(fitted[best].transform(holdout)), "confidence")
 
 
 def retrain_model(augmented: DataFrame, size: str = "full", algorithm: str = "RandomForest", cols: Cols = COLS):
@@ -55,18 +72,34 @@ def train_and_register(
     """Compare, register the best as a new version and point Champion at it."""
     from pyspark.ml import PipelineModel
 
-    runs, fitted, fm = compare_models(labeled, size, cols=cols, only=only)
+    runs, fitted, fm, holdout = compare_with_holdout(labeled, size, cols=cols, only=only)
+    shape = {
+        "feature_count": _feature_count(fm), "class_count": len(label_names(fm)),
+        "threshold": C.CONFIDENCE_THRESHOLD, "size": size,
+    }
+    ids = {}
     for r in runs.collect():  # one row per candidate
-        registry.log_run(spark, r["algorithm"], {"size": size},
-                         {"test_accuracy": r["accuracy"], "avg_confidence": r["avg_confidence"],
-                          "low_confidence_pct": r["low_confidence_pct"]})
+        ids[r["algorithm"]] = registry.log_run(
+            spark, r["algorithm"], {"algorithm": r["algorithm"], **shape},
+            {"test_accuracy": r["accuracy"], "avg_confidence": r["avg_confidence"],
+             "low_confidence_pct": r["low_confidence_pct"]},
+        )
     best = registry.select_best(runs.withColumn("version", F.col("ordinal"))).first()
-    model = PipelineModel(stages=[*fm.stages, fitted[best["best_algorithm"]]])
-    v = registry.register(spark, model, best["best_algorithm"], best["best_accuracy"])
+    name = best["best_algorithm"]
+    model = PipelineModel(stages=[*fm.stages, fitted[name]])
+    v = registry.register(spark, model, name, best["best_accuracy"], run_id=ids[name])
     registry.point_alias(spark, C.CHAMPION, v)
+    _, bands = winner_bands(runs, fitted, holdout)
+    sinks.append_table(bands.withColumns({"version": F.lit(v), "run_id": F.lit(ids[name])}), "model_bands")
     return runs
 
 
+def _feature_count(fm) -> int:
+    """Length of the feature vector: vocabulary, vendors and the price."""
+    text, vendors = stage(fm, "_tf"), stage(fm, "_vendor_ix")
+    return len(text.vocabulary) + len(vendors.labels) + 1
+
+
 def monitor_and_retrain(
     spark,
     classified: DataFrame,
@@ -102,13 +135,18 @@ def monitor_and_retrain(
         holdout = split_strat(augmented, cols.label, C.RETRAIN_TEST_FRACTION, id_col=cols.id).where("is_test")
         champion = holdout_accuracy(spark, C.CHAMPION, holdout, cols)
     promo = retrain.promotion(runs.select("accuracy"), champion).first()
-    n_rows = augmented.count()
+    n_rows, n_corrections = augmented.count(), corrections.count()
+    run_id = registry.log_run(
+        spark, algorithm,
+        {"algorithm": algorithm, "training_rows": n_rows, "corrections_included": n_corrections,
+         "retrain_reason": "drift_detected", "threshold": C.CONFIDENCE_THRESHOLD},
+        {"test_accuracy": promo["new_accuracy"]},
+    )
     v = registry.register(
         spark, PipelineModel(stages=[*fm.stages, model]), algorithm, promo["new_accuracy"],
-        description=f"Retrained on {n_rows} samples. Accuracy: {promo['new_accuracy']:.4f}",
+        description=f"Retrained on {n_rows} samples with {n_corrections} corrections. Accuracy: {promo['new_accuracy']:.4f}",
+        run_id=run_id,
     )
-    registry.log_run(spark, algorithm, {"training_rows": n_rows, "retrain_reason": "drift_detected"},
-                     {"test_accuracy": promo["new_accuracy"]})
     registry.point_alias(spark, C.CHAMPION if promo["promoted"] else C.CHALLENGER, v)
     p = spark.createDataFrame([(promo["old_accuracy"], promo["new_accuracy"], promo["promoted"])],
                               "old_accuracy double, new_accuracy double, promoted boolean")

@@ -19,9 +19,8 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{storage_root(spark)}/tables/{name}"
 
 
-def save_table(df: DataFrame, name: str, recreate: bool = False) -> None:
-    """Full-replace write.  A parquet overwrite also replaces the schema, so
-    `recreate` (drop, then write) needs no separate step for path tables."""
+def save_table(df: DataFrame, name: str) -> None:
+    """Full-replace write; a parquet overwrite also replaces the schema."""
     df.write.mode("overwrite").parquet(table_path(df.sparkSession, name))
 
 

@@ -2,7 +2,7 @@
 
 New rows of the output table (or any stream with a time, a model version, a
 prediction and a measure) are counted per (time bucket, model version,
-prediction) with a watermark, so state for closed buckets is dropped.  Each
+prediction).  Each
 micro-batch appends its updated counts, tagged with the batch id, to a
 parquet log in the shared storage; `read_profile` keeps the latest row per key
 and rolls the counts up per (bucket, version).  The log is append-only, so a
@@ -25,16 +25,20 @@ def profile_counts(
     prediction: str,
     measure: str,
     every: str = "1 day",
-    watermark: str = "2 days",
+    watermark: str | None = None,
     measure_decimals: int = 4,
 ) -> DataFrame:
-    """Streaming aggregate per (bucket, version, prediction)."""
+    """Streaming aggregate per (bucket, version, prediction).
+
+    Without a watermark late rows count, as they do in the batch form, and the
+    state holds a row per key; with one, later rows are left out and closed
+    buckets leave the state."""
     scale = float(10**measure_decimals)
     # the watermark needs a TIMESTAMP; a TIMESTAMP_NTZ column is read as session (UTC) time
+    rows = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    rows = rows.withWatermark(ts, watermark) if watermark else rows
     return (
-        stream.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, watermark)
-        .groupBy(F.window(ts, every).alias("w"), F.col(version).alias("model_version"), F.col(prediction).alias("prediction"))
+        rows.groupBy(F.window(ts, every).alias("w"), F.col(version).alias("model_version"), F.col(prediction).alias("prediction"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count(measure).alias("n_measure"),
@@ -53,7 +57,7 @@ def start_profile(
     prediction: str,
     measure: str,
     every: str = "1 day",
-    watermark: str = "2 days",
+    watermark: str | None = None,
     measure_decimals: int = 4,
     available_now: bool = True,
 ) -> StreamingQuery:

@@ -24,6 +24,11 @@ def test_train_register_load_score_and_retrain(spark):
     assert runs.count() == 3
     model, row = registry.load(spark, C.CHAMPION)
     assert row["version"] == 1
+    run = registry.run_of(spark, C.CHAMPION).first()  # alias → version → run → parameters and metrics
+    assert run["metrics"]["test_accuracy"] == row["accuracy"] and run["algorithm"] == row["algorithm"]
+    assert {"feature_count", "class_count", "threshold", "algorithm"} <= set(run["params"])
+    bands = sinks.read_table(spark, "model_bands").where(F.col("version") == 1)
+    assert bands.count() == 5 and bands.agg(F.sum("n")).first()[0] == runs.first()["n_test"]
     out = model.transform(docs)
     assert out.count() == docs.count()
     # alias log is append-only: a second pointer supersedes the first
@@ -42,6 +47,26 @@ def test_retrain_on_the_same_holdout_registers_a_new_version(spark):
     assert line.startswith("RETRAIN:YES|OLD_ACC:") and "|PROMOTED:" in line
     versions = registry.versions_table(spark).agg(F.max("version")).first()[0]
     assert versions >= 3
+    made = registry.versions_table(spark).where(F.col("version") == versions).first()
+    assert "corrections" in made["description"]
+    run = registry.runs_table(spark).where(F.col("run_id") == made["run_id"]).first()
+    assert int(run["params"]["corrections_included"]) == A.corrections(spark, d).count()
+
+
+def test_latest_compares_text_versions_as_numbers(spark):
+    df = spark.createDataFrame([("9",), ("10",), ("2",), ("x",), (None,)], "version string")
+    assert registry.latest(df).first()["latest_version"] == 10
+
+
+def test_stored_threshold_gates_by_default(spark):
+    d = SF["tiny"]
+    v = registry.versions_table(spark).where("version = 1").first()
+    row = v.asDict() | {"version": 900, "threshold": 0.5}
+    sinks.append_table(spark.createDataFrame([row], registry.VERSION_SCHEMA), registry.VERSIONS)
+    registry.point_alias(spark, C.CHAMPION, 900)
+    flows.run_scoring(A.scored(spark, d), A.codes(spark, d), "answers_t", "classified_t")
+    assert sinks.read_table(spark, "answers_t").count() == A.scored(spark, d).where("ml_confidence < 0.5").count()
+    registry.point_alias(spark, C.CHAMPION, 1)
 
 
 def test_scoring_run_writes_answers_then_output(spark):
@@ -56,8 +81,11 @@ def test_scoring_runs_can_append_with_run_id(spark):
     d = SF["tiny"]
     n = A.scored(spark, d).count()
     for run in ("r1", "r2"):
-        out = flows.run_scoring(A.scored(spark, d), A.codes(spark, d), f"answers_{run}", "classified_log", run_id=run)
+        out = flows.run_scoring(A.scored(spark, d), A.codes(spark, d), "answers_log", "classified_log", run_id=run)
     assert out.count() == 2 * n
+    keyed = sinks.read_table(spark, "answers_log")
+    assert keyed.groupBy("item_id", "run_id").count().where("count > 1").count() == 0
+    assert keyed.select("run_id").distinct().count() == 2
     assert {r["run_id"] for r in out.select("run_id").distinct().collect()} == {"r1", "r2"}
 
 
