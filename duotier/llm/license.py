@@ -197,8 +197,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
         known: dict[bytes, int] = {}
 
         def hashes(ws: list[bytes]) -> np.ndarray:
-            for w in set(ws) - known.keys():
-                known[w] = xxhash.xxh64_intdigest(w, 0)
+            known.update((w, xxhash.xxh64_intdigest(w, 0)) for w in set(ws).difference(known))
             return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
 
         def group(ids: list, texts: list[list[bytes]]):
