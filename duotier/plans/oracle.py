@@ -597,3 +597,32 @@ FROM (SELECT accuracy FROM runs WHERE version = (SELECT max(version) FROM runs))
      (SELECT max(accuracy) AS accuracy FROM runs WHERE version = 1) o""",
     _rule_runs(),
 )
+
+# --- order lines as new items -----------------------------------------------------
+
+LINES = """lines_v AS (
+  SELECT 'LN-' || CAST(l_orderkey * 1048576 + l_partkey AS VARCHAR) AS item_id,
+         CASE WHEN l_suppkey % 10 = 0 THEN 'Supplier ' || CAST(l_suppkey AS VARCHAR) ELSE p_brand END AS vendor_name,
+         concat(p_name, ' ', lower(p_type), ' flag', lower(l_returnflag)) AS product_description,
+         CAST(l_extendedprice AS DOUBLE) / CAST(l_quantity AS DOUBLE) AS unit_price,
+         split_part('EUR,USD,ISK,SEK,NOK,DKK,GBP,CHF', ',', CAST(p_size % 8 + 1 AS INTEGER)) AS currency,
+         c.code AS code, l_orderkey * 1048576 + l_partkey AS k
+  FROM (SELECT l_orderkey, l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity,
+               min(l_extendedprice) AS l_extendedprice, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY ALL) l
+  JOIN part ON l_partkey = p_partkey
+  JOIN codes_v c ON c.adj = split_part(p_name, ' ', 1) AND c.noun = split_part(p_name, ' ', 2)
+),
+"""
+
+
+def _for_lines(sql: str) -> str:
+    """The same statement with order lines in place of the items of `part` as what is scored."""
+    before, after = sql.split("scored_v AS (", 1)
+    source, rest = after.split("FROM items_v", 1)
+    return f"{before}{LINES}scored_v AS ({source}FROM lines_v{rest}"
+
+
+SQL["lines_classified"] = _for_lines(SQL["classified_items"])
+SQL["lines_signals"] = _for_lines(SQL["monitor_signals"])
+SQL["lines_vendor_onehot"] = _for_lines(SQL["vendor_onehot"])
+SQL["lines_tfidf"] = _for_lines(SQL["tfidf_apply"])

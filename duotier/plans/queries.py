@@ -461,6 +461,38 @@ def q_price_z(spark, d):
     return out.select("item_id", F.round("price_eur", 9).alias("price_eur"), F.round("price_z", 9).alias("price_z"))
 
 
+# --- order lines as new items: vendors and words that training has not seen ---
+
+def _line_classified(spark, d) -> DataFrame:
+    return flows.classified_flow(A.line_scored(spark, d), A.line_responses(spark, d))
+
+
+@query("lines_classified")
+def q_lines_classified(spark, d):
+    """Both tiers over every order line."""
+    return _line_classified(spark, d)
+
+
+@query("lines_signals")
+def q_lines_signals(spark, d):
+    return monitor.signals(_line_classified(spark, d)).select(
+        "n_total", "n_ml", "n_llm", "n_fallback", "avg_confidence", "fallback_pct", "override_pct"
+    )
+
+
+@query("lines_vendor_onehot")
+def q_lines_vendor_onehot(spark, d):
+    """Training vendors' slots for order lines; a vendor unseen in training has none."""
+    return features.vendor_onehot(A.line_scored(spark, d), features.vendor_index(A.labeled(spark, d)))
+
+
+@query("lines_tfidf")
+def q_lines_tfidf(spark, d):
+    """Vocabulary of the training items on routed order lines, with words it does not know."""
+    fitted = features.fit_text(A.labeled(spark, d))
+    return features.tfidf(gate.route(A.line_scored(spark, d)), fitted).withColumn("weight", F.round("weight", 9))
+
+
 @query("split_strat")
 def q_split_strat(spark, d):
     return features.split_strat(A.labeled(spark, d), "code", C.TRAIN_TEST_FRACTION).select("item_id", "code", "is_test")

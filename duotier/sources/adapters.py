@@ -117,10 +117,36 @@ def raw_confidence(k) -> "F.Column":
 
 
 @_memo
-def scored(spark: SparkSession, d: str) -> DataFrame:
-    """Items with a model guess (one seventh wrong) and a 4-decimal confidence."""
-    it = items(spark, d)
-    min_code = codes(spark, d).agg(F.min("code")).scalar()
+def line_items(spark: SparkSession, d: str) -> DataFrame:
+    """New items, one per order and part: they grow with `lineitem`, and hold vendors,
+    words and prices that the training items (`items`) do not have."""
+    p = table(spark, d, "part")
+    c = codes(spark, d).select("adj", "noun", "code")
+    one = {x: F.min(x).alias(x) for x in ("l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")}
+    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(*one.values())
+    k = F.col("l_orderkey") * 1048576 + F.col("l_partkey")
+    return (
+        li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+        .join(
+            c,
+            (F.split_part("p_name", F.lit(" "), F.lit(1)) == F.col("adj"))
+            & (F.split_part("p_name", F.lit(" "), F.lit(2)) == F.col("noun")),
+        )
+        .select(
+            F.concat(F.lit("LN-"), k.cast("string")).alias("item_id"),
+            F.when(F.col("l_suppkey") % 10 == 0, F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")))
+            .otherwise(F.col("p_brand")).alias("vendor_name"),
+            F.concat("p_name", F.lit(" "), F.lower("p_type"), F.lit(" flag"), F.lower("l_returnflag")).alias("product_description"),
+            (F.col("l_extendedprice").cast("double") / F.col("l_quantity").cast("double")).alias("unit_price"),
+            F.split_part(F.lit(CURRENCY_CYCLE), F.lit(","), F.col("p_size") % 8 + 1).alias("currency"),
+            F.col("code"),
+            k.alias("k"),
+        )
+    )
+
+
+def _guess(it: DataFrame, min_code) -> DataFrame:
+    """A model guess (one seventh wrong) and a 4-decimal confidence per item."""
     return it.select(
         "item_id",
         "vendor_name",
@@ -135,9 +161,20 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_memo
-def responses(spark: SparkSession, d: str, threshold: float = C.CONFIDENCE_THRESHOLD) -> DataFrame:
+def scored(spark: SparkSession, d: str) -> DataFrame:
+    """Items of `part` with a stored guess and confidence."""
+    return _guess(items(spark, d), codes(spark, d).agg(F.min("code")).scalar())
+
+
+@_memo
+def line_scored(spark: SparkSession, d: str) -> DataFrame:
+    """Items of `lineitem` with a stored guess and confidence."""
+    return _guess(line_items(spark, d), codes(spark, d).agg(F.min("code")).scalar())
+
+
+def _stored(s: DataFrame, threshold: float) -> DataFrame:
     """Stored answers for routed rows: malformed, missing-field and good ones."""
-    s = scored(spark, d).where(F.col(C.COLS.confidence) < threshold)
+    s = s.where(F.col(C.COLS.confidence) < threshold)
     good = F.concat(
         F.lit('{"iso_code":"'),
         F.col(C.COLS.truth),
@@ -153,6 +190,18 @@ def responses(spark: SparkSession, d: str, threshold: float = C.CONFIDENCE_THRES
     return s.select("item_id", resp.alias("response"))
 
 
+@_memo
+def responses(spark: SparkSession, d: str, threshold: float = C.CONFIDENCE_THRESHOLD) -> DataFrame:
+    """Stored answers for the routed items of `part`."""
+    return _stored(scored(spark, d), threshold)
+
+
+@_memo
+def line_responses(spark: SparkSession, d: str, threshold: float = C.CONFIDENCE_THRESHOLD) -> DataFrame:
+    """Stored answers for the routed items of `lineitem`."""
+    return _stored(line_scored(spark, d), threshold)
+
+
 @_memo
 def corrections(spark: SparkSession, d: str) -> DataFrame:
     """Expert corrections: every 50th item, one item twice, one unknown id."""
