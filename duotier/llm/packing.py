@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, saved
-from .tokens import WordEncoder, tokenizer_path
+from .tokens import tokenizer_path, worker_encoder
 
 SIZE = 2048
 END_ID = 0
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, tokenizer: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, seen = WordEncoder(path), TaskContext.get().partitionId(), Counter()
+        encoder, part, seen = worker_encoder(path), TaskContext.get().partitionId(), Counter()
         for b in batches:
             rows = []
             for doc_id, got in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist())):
