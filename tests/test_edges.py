@@ -70,7 +70,7 @@ def test_null_vendor_gives_a_prompt(spark):
     routed = scored(spark, [("i", None, "blue bolt", None, None, "A", 0.5)])
     codes = spark.createDataFrame([("A", "bolt blue", "desc")], "code string, name string, description string")
     p = answers.prompts(routed, codes).first()["prompt"]
-    assert p is not None and "- Vendor: \n" in p and "- A: bolt blue — desc" in p
+    assert p is not None and "Sold by: \n" in p and "- A: bolt blue — desc" in p
 
 
 @pytest.mark.parametrize("conf", [0.99, 0.10])
