@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, rows_to_batches, scratch, small_batches
-from .tokens import WordEncoder, tokenizer_path
+from .tokens import tokenizer_path, worker_encoder
 
 END_ID = 2
 PRECISION = 20
@@ -41,6 +41,8 @@ LANES = 1024
 BLOCK = 1 << 18
 SEGMENT = 1 << 21
 CHECKPOINT = 128
+#: Words that a worker keeps in each generation of its cache: sorted input spreads them over many tasks.
+CACHE = 1_200_000
 
 MAGIC = b"RANS"
 HEAD = "<4sHHIIQI"  # magic, version, precision, documents, blocks, ids, crc of the rest
@@ -191,7 +193,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, shard = WordEncoder(place), TaskContext.get().partitionId()
+        encoder, shard = worker_encoder(place, CACHE), TaskContext.get().partitionId()
         number, before, held_ids, held, n = 0, 0, [], [], 0
 
         def closed() -> pa.RecordBatch:

@@ -31,18 +31,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def worker_encoder(path: str) -> WordEncoder:
+def worker_encoder(path: str, cache: int = CACHE) -> WordEncoder:
     """The encoder of this worker process: its tasks share what they have learned."""
     kept = sys.modules.setdefault("duotier_llm_worker", types.ModuleType("duotier_llm_worker")).__dict__
-    if path not in kept:
-        kept[path] = WordEncoder(path)
-    return kept[path]
+    if (path, cache) not in kept:
+        kept[path, cache] = WordEncoder(path, cache)
+    return kept[path, cache]
 
 
 class WordEncoder:
     """Encodes UTF-8 texts into little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -57,10 +57,11 @@ class WordEncoder:
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
         self.words: dict[bytes, bytes] = {}  # pieces are words, too
         self.older: dict[bytes, bytes] = {}
+        self.cache = cache
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
-        if len(self.words) > CACHE:
+        if len(self.words) > self.cache:
             self.older, self.words = self.words, {}
         split = [None if SPECIAL in t else t.lower().split() for t in texts]
         self.learn(self.unknown(set().union(*(w for w in split if w))))
