@@ -1,12 +1,13 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences (after . ! ? before white space, and at line
-ends).  A sentence of more than `LONG` words is cut further after words whose
-CRC-32 is a multiple of 8, so that equal passages are cut alike wherever they
-begin.  From every sentence a span runs on until it has two sentences and
-`MIN_WORDS` words; its 64-bit hash is joined over all documents.  The first
-place of a hash, by (doc_id, position), stays; every sentence that another
-place covers is removed from its text.
+ends).  A sentence of more than `LONG` words is cut after every word, so that
+equal passages are cut alike wherever they begin.  From every sentence on, and
+up to every sentence, the shortest span of two sentences and `MIN_WORDS` words
+is taken; its 64-bit hash is joined over all documents.  The first place of a
+hash, by (doc_id, position), stays; every sentence that another place covers is
+removed from its text.  Any longer repeated run is made up of such spans, each
+repeated at the same places, so this is what comparing all runs would remove.
 
 Counting a hash and finding its first place is one aggregation with map-side
 combination; places meet only that one row, so a passage that a third of all
@@ -21,7 +22,6 @@ not read."""
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,19 +50,16 @@ def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
         if len(words) <= LONG:
             out.append((begin, end, b" ".join(words), len(words)))
         else:
-            first = 0
-            places = [begin + m.end() for m in WORD.finditer(text[begin:end])]
-            cuts = [k + 1 for k, w in enumerate(words[:-1]) if not zlib.crc32(w) & 7] + [len(words)]
-            for cut in cuts:
-                stop = end if cut == len(words) else places[cut - 1]
-                out.append((begin, stop, b" ".join(words[first:cut]), cut - first))
-                begin, first = stop, cut
+            stops = [begin + m.end() for m in WORD.finditer(text[begin:end])]
+            for word, stop in zip(words, [*stops[:-1], end]):
+                out.append((begin, stop, word, 1))
+                begin = stop
         begin = end
     return out
 
 
 def spans(text: bytes, digest, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(hash, first, last sentence) of the shortest span of enough sentences and words from each sentence on."""
+    """(hash, first, last sentence) of the shortest span of enough sentences and words from each sentence on, and up to each."""
     found = sentences(text)
     out, n, j = [], 0, -1
     for i in range(len(found)):
@@ -71,9 +68,19 @@ def spans(text: bytes, digest, min_words: int = MIN_WORDS) -> list[tuple[int, in
             n += found[j][3]
         if n < min_words or j - i + 1 < MIN_SENTENCES:
             break
-        out.append((digest(b"\n".join(s[2] for s in found[i : j + 1]), 0), i, j))
+        out.append((i, j))
         n -= found[i][3]
-    return out
+    # up to each sentence; where no other starts at i and ends there, it is one of those from i on
+    forward, n, i = len(out), 0, 0
+    for j in range(len(found)):
+        n += found[j][3]
+        while j - i >= MIN_SENTENCES and n - found[i][3] >= min_words:
+            n -= found[i][3]
+            i += 1
+        if n >= min_words and j - i + 1 >= MIN_SENTENCES and (i >= forward or out[i][1] != j):
+            out.append((i, j))
+    words = [s[2] for s in found]
+    return [(digest(b"\n".join(words[i : j + 1]), 0), i, j) for i, j in out]
 
 
 def keyed(docs: DataFrame) -> DataFrame:

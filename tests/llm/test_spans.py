@@ -76,3 +76,33 @@ def test_sentences_cover_the_text():
 def test_given_tables(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(S.deduplicate(df).collect(), plain([(r.doc_id, r.text) for r in df.collect()]))
+
+
+def all_runs(rows):
+    """Texts without the sentences of any run of enough sentences and words, of any length, that has an earlier place."""
+    first, cuts = {}, {r: S.sentences(r[1].encode()) for r in sorted(rows)}
+    runs = {
+        r: [(tuple(x[2] for x in cut[i : j + 1]), i, j) for i in range(len(cut)) for j in range(i + 1, len(cut)) if sum(x[3] for x in cut[i : j + 1]) >= S.MIN_WORDS]
+        for r, cut in cuts.items()
+    }
+    for r in cuts:
+        for words, i, _ in runs[r]:
+            first.setdefault(words, (r, i))
+    out = []
+    for r, cut in cuts.items():
+        gone = {k for w, i, j in runs[r] if first[w] != (r, i) for k in range(i, j + 1)}
+        out.append((r[0], len(gone), b"".join(r[1].encode()[c[0] : c[1]] for k, c in enumerate(cut) if k not in gone).decode()))
+    return out
+
+
+def test_all_runs_of_copies_and_planted_passages_go(spark):
+    tail = "Twelve words stand in this one sentence so that it ends well. Then two. And one."
+    plain = " ".join(f"w{k * 37 % 101}" for k in range(55))
+    rows = [(1, f"{PASSAGE} {tail}"), (2, f"{PASSAGE} {tail}"), (3, f"An own beginning. {tail} Some words after it.")]
+    rows += [(10 + k, " ".join([*(f"x{k}y{n}" for n in range(30 + k)), plain, *(f"z{k}y{n}" for n in range(30))])) for k in range(4)]
+    rows += [(20, "A b. C d. E f g h i j k l. M n. O p."), (21, "Q r. C d. E f g h i j k l. M n. O p."), (22, "M n. O p. Q r.")]
+    got = {r.doc_id: r for r in S.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].text == "" and "Then two" not in got[3].text and "And one" not in got[3].text
+    for k in range(1, 4):
+        assert not set(plain.split()) & set(got[10 + k].text.split()) and got[10 + k].n_removed == 55
+    check(got.values(), all_runs(rows))
