@@ -6,8 +6,9 @@ there are of each length (at most `size` numbers), and patterns, i.e. lists of
 lengths that share a sequence, each with the number of sequences like it.
 Best fit in descending length makes the first patterns.  Local search then
 takes two underfull patterns at a time and moves one document, exchanges one
-for one or two for one, whenever that raises the sum of squared fills; it acts
-on as many sequences as both patterns have.  Emptied sequences go.
+for one, two for one or one for two, whenever that raises the sum of squared fills;
+it acts on as many sequences as both patterns have, and ends when no two
+underfull patterns are left that gain.  Emptied sequences go.
 
 Each length's pieces are numbered across the corpus (a count per task and
 length, summed up), and the n-th piece of a length takes the n-th place of that
@@ -19,9 +20,12 @@ gives an empty result; columns other than doc_id and text are not read."""
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +37,6 @@ from .tokens import tokenizer_path, worker_encoder
 
 SIZE = 2048
 END_ID = 0
-#: Sweeps of the local search over the underfull patterns.
-SWEEPS = 4
-#: Bound on the underfull patterns a sweep compares, the emptiest first.
-WIDTH = 100
-#: Bound on the lengths of a sequence that an exchange of two considers, the smallest first.
-LENGTHS = 16
 
 PIECE = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -105,29 +103,58 @@ def best_fit(counts: dict[int, int], size: int) -> Counter:
     return out
 
 
-def better(a: Pattern, b: Pattern, size: int) -> tuple[Pattern, Pattern] | None:
-    """The move or exchange between two sequences that raises the sum of squared fills most: b, the fuller, gains."""
-    fa, fb = sum(a), sum(b)
-    free = size - fb
-    best, gain = None, 0
-    ones, others = [(x,) for x in sorted(set(a))], [(y,) for y in sorted(set(b))]
-    for gives, takes in ((ones, [(), *others]), (two(a), others), (ones, two(b))):
-        for give in gives:
-            for take in takes:
-                d = sum(give) - sum(take)
-                if 0 < d <= free:
-                    g = (fb + d) ** 2 + (fa - d) ** 2 - fb**2 - fa**2
-                    if g > gain:
-                        best, gain = (give, take), g
-    if best is None:
-        return None
-    give, take = best
-    return swapped(a, give, take), swapped(b, take, give)
+class Sums(NamedTuple):
+    """Lengths of a pattern, and bit sets of them and of the sums of two of its documents."""
+
+    lengths: list[int]
+    ones: int
+    twos: int
+
+
+def sums(p: Pattern) -> Sums:
+    count = Counter(p)
+    ones, twos = sum(1 << x for x in count), 0
+    for x, n in count.items():
+        twos |= (ones if n > 1 else ones ^ (1 << x)) << x
+    return Sums(sorted(count), ones, twos)
+
+
+def two(p: Pattern, total: int) -> Pattern:
+    """Two documents of a pattern with that sum."""
+    return next((x, total - x) for x in sorted(set(p)) if total - x in p and (2 * x != total or p.count(x) > 1))
 
 
-def two(p: Pattern) -> list[Pattern]:
-    each = sorted(set(p))[:LENGTHS]
-    return [(x, y) for i, x in enumerate(each) for y in each[i:] if x != y or p.count(x) > 1]
+def better(a: Pattern, b: Pattern, size: int, held: dict[Pattern, Sums]) -> tuple[Pattern, Pattern] | None:
+    """The move or exchange between two sequences that raises the sum of squared fills most: b, the fuller, gains.
+
+    That is the one with the largest difference of lengths that b has room for."""
+    free, x, y = size - sum(b), held[a], held[b]
+    fits, either = (1 << free) - 1, x.ones | x.twos
+    # bit d - 1 is a difference of d
+    d = (x.ones >> 1 & fits).bit_length()
+    for take in y.lengths:
+        if d == free:
+            break
+        d = max(d, (either >> (take + 1) & fits).bit_length())
+    for give in x.lengths:
+        if d == free:
+            break
+        # bit free - d is a difference of d
+        left = (y.twos >> (give - free) if give > free else y.twos << (free - give)) & fits
+        if left:
+            d = max(d, free + 1 - (left & -left).bit_length())
+    if not d:
+        return None
+    if x.ones >> d & 1:
+        give, take = (d,), ()
+    elif (n := next((n for n in y.lengths if x.ones >> (n + d) & 1), 0)):
+        give, take = (n + d,), (n,)
+    elif (n := next((n for n in y.lengths if x.twos >> (n + d) & 1), 0)):
+        give, take = two(a, n + d), (n,)
+    else:
+        n = next(n for n in x.lengths if n > d and y.twos >> (n - d) & 1)
+        give, take = (n,), two(b, n - d)
+    return swapped(a, give, take), swapped(b, take, give)
 
 
 def swapped(p: Pattern, out: Pattern, new: Pattern) -> Pattern:
@@ -137,32 +164,47 @@ def swapped(p: Pattern, out: Pattern, new: Pattern) -> Pattern:
     return tuple(sorted([*left, *new], reverse=True))
 
 
-def local_search(patterns: Counter, size: int, sweeps: int = SWEEPS, width: int = WIDTH) -> Counter:
-    """Exchanges between underfull patterns until a sweep finds none; empty sequences are dropped."""
-    found = Counter({tuple(sorted(p, reverse=True)): 0 for p in patterns})
+def local_search(patterns: Counter, size: int) -> Counter:
+    """Exchanges between underfull patterns until no two of them have one; empty sequences are dropped."""
+    found: Counter = Counter()
     for p, n in patterns.items():
         found[tuple(sorted(p, reverse=True))] += n
-    for _ in range(sweeps):
-        under = sorted((p for p in found if p and sum(p) < size), key=lambda p: (sum(p), p))[:width]
-        changed = False
-        for a in under:  # the emptiest first: those are to be emptied
-            for b in reversed(under):
-                while found[a] and found[b] and (a != b or found[a] > 1) and (sum(a), a) <= (sum(b), b):
-                    new = better(a, b, size)
-                    if new is None:
-                        break
-                    m = min(found[a], found[b]) if a != b else found[a] // 2
-                    found[a] -= m
-                    found[b] -= m
-                    found[new[0]] += m
-                    found[new[1]] += m
-                    changed = True
-                if not found[a]:
+    under = sorted((sum(p), p) for p in found if p and sum(p) < size)
+    held = {p: sums(p) for _, p in under}
+    # patterns still to be compared with all others, the emptiest first: those are to be emptied
+    waiting, queued = list(under), set(held)
+    while waiting:
+        own = heapq.heappop(waiting)
+        p = own[1]
+        queued.discard(p)
+        if not found[p]:
+            continue
+        for other in under[::-1]:
+            q = other[1]
+            a, b = (p, q) if own <= other else (q, p)
+            while found[a] and found[b] and (a != b or found[a] > 1):
+                new = better(a, b, size, held)
+                if new is None:
                     break
-        found = Counter({p: n for p, n in found.items() if n and p})
-        if not changed:
-            break
-    return found
+                m = min(found[a], found[b]) if a != b else found[a] // 2
+                for x in (a, b):
+                    found[x] -= m
+                    if not found[x] and x in held:
+                        del under[bisect.bisect_left(under, (sum(x), x))], held[x]
+                for x in new:
+                    at = (sum(x), x)
+                    if x and at[0] < size:
+                        if not found[x]:
+                            bisect.insort(under, at)
+                            held[x] = sums(x)
+                        # also where there are two of it now: these may gain from each other
+                        if found[x] < 2 and x not in queued:
+                            heapq.heappush(waiting, at)
+                            queued.add(x)
+                    found[x] += m
+            if not found[p]:
+                break
+    return Counter({p: n for p, n in found.items() if n and p})
 
 
 def places(patterns: Counter) -> list[tuple[int, int, int, int, int]]:
