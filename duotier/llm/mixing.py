@@ -2,14 +2,12 @@
 
 Each source's documents, in a fixed shuffled order, are cut into blocks of
 `block` characters (a document belongs to the block in which it begins).
-Weights are whole numbers of slots in a period of `PERIOD` (more with many
-sources).  Block i (from 1) of a source with n of P slots is released at slot
-floor((i - 1) * P / n) and due by ceil(i * P / n); each slot goes to the
-released block with the earliest deadline.  So at every slot a source has got
-less than one block more or less than its share.  All lags are zero at the end
-of a period, hence one period's schedule, P slots, gives every block's slot in
-closed form.  When a source runs out, its slots stay empty and the others go on
-in their proportions: every document is placed exactly once.
+Weights are exact fractions of whole numbers.  Block i (from 1) of a source of
+weight w is released at slot floor((i - 1) / w) and due by ceil(i / w); each
+slot goes to the released block with the earliest deadline.  So at every slot a
+source has got less than one block more or less than its share.  The schedule
+holds the corpus' blocks, one by one.  When a source runs out, the others go on
+within their own windows: every document is placed exactly once.
 
 A source may hold a third of all rows: positions are counted within (source,
 hash bucket), and bucket sizes are summed up in a small table.
@@ -17,19 +15,23 @@ hash bucket), and bucket sizes are summed up in a small table.
 Defined cases: a null source is a source of its own; null and empty texts take
 no room; a document longer than a block takes its source's next blocks, too;
 repeated rows are all placed; a null doc_id is a value like any other; sources
-without a weight of their own get those of `temperature`; an empty table gives
-an empty result; extra columns are passed through, the operator's own columns
+without a weight of their own get those of `temperature`; a weight below 1e-12
+of the largest (zero, too) counts as that; an empty table gives an empty result; extra columns are passed through, the operator's own columns
 replace any of the same names."""
 
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 100_000
-PERIOD = 1000
+#: Up to so many blocks the schedule is broadcast; beyond, the join is left to adaptive execution.
+BROADCAST_BLOCKS = 1_000_000
 #: Share of a source is its size to this power, so small sources are raised.
 TEMPERATURE = 0.7
 #: Bound on the sources, whose names and sizes come to the driver.
@@ -49,21 +51,35 @@ def quotas(weights: list[float], period: int) -> list[int]:
     return out
 
 
-def schedule(slots: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """One period: (source, block, slot, release, deadline), by earliest deadline first among released blocks."""
-    period = sum(slots)
-    waiting = [(0, k, 0) for k in range(len(slots))]  # (release, source, block)
+def fractions(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the proportions of `weights`."""
+    least = max(weights) * 1e-12
+    exact = [Fraction(max(w, least)) for w in weights]
+    whole = math.lcm(*(x.denominator for x in exact))
+    out = [int(x * whole) for x in exact]
+    common = math.gcd(*out)
+    return [x // common for x in out]
+
+
+def schedule(slots: list[int], blocks: list[int] | None = None) -> list[tuple[int, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of `blocks` of each source (default: one period), by earliest deadline
+    first among released blocks; slots that only sources with no blocks left would take stay empty."""
+    period, blocks = sum(slots), slots if blocks is None else blocks
+    waiting = [(0, k, 0) for k in range(len(slots)) if blocks[k]]  # (release, source, block)
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int, int]] = []
-    out = []
-    for slot in range(period):
+    out, slot = [], 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             release, k, i = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(i + 1) * period // slots[k]), k, i, release))
         deadline, k, i, release = heapq.heappop(ready)
         out.append((k, i, slot, release, deadline))
-        if i + 1 < slots[k]:
+        if i + 1 < blocks[k]:
             heapq.heappush(waiting, ((i + 1) * period // slots[k], k, i + 1))
+        slot += 1
     return out
 
 
@@ -103,12 +119,12 @@ def mix(
     weights: dict[str | None, float] | None = None,
     keep: list[str] | None = None,
     block: int = BLOCK,
-    period: int = PERIOD,
+    period: int | None = None,
     temperature: float = TEMPERATURE,
 ) -> DataFrame:
     """Columns `keep` (default: all) with mix_slot, mix_block, mix_release, mix_deadline and mix_start.
 
-    (mix_slot, mix_start) is the mixed order."""
+    (mix_slot, mix_start) is the mixed order.  A caller's `period` rounds the weights to whole slots of that period."""
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c not in OWN] if keep is None else keep
     rows = sized(docs, keep)
@@ -119,25 +135,22 @@ def mix(
     totals = sorted(totals, key=lambda r: (r["__source"] is not None, r["__source"] or ""))
     scale = max((r["size"] for r in totals), default=1) or 1
     shares = [float((weights or {}).get(r["__source"], max(r["size"] / scale, 1e-9) ** temperature)) for r in totals]
-    slots = quotas(shares, max(period, 4 * len(totals))) if totals else []
-    total = sum(slots)
-    plan = [(totals[k]["__source"], *rest) for k, *rest in (schedule(slots) if totals else [])]
-    # both tables are bounded: at most max(period, 4 * MAX_SOURCES) rows of a few numbers
-    table = spark.createDataFrame(plan, "__t string, __i long, __slot long, __release long, __deadline long")
-    counts = spark.createDataFrame([(r["__source"], n) for r, n in zip(totals, slots)], "__c string, __slots long")
+    slots = (quotas(shares, max(period, 4 * len(totals))) if period else fractions(shares)) if totals else []
+    plan = schedule(slots, [r["size"] // block + 1 for r in totals])
+    # a row of five numbers for each block
+    names = ("__t", "__i", "__slot", "__release", "__deadline")
+    columns = zip(*plan) if plan else [()] * len(names)
+    table = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=list(names)))
+    table = F.broadcast(table) if len(plan) <= BROADCAST_BLOCKS else table
+    numbers = spark.createDataFrame([(r["__source"], k) for k, r in enumerate(totals)], "__c string, __k long")
     located = (
         placed(rows, sum(r["n"] for r in totals))
-        .join(F.broadcast(counts), F.col("__source").eqNullSafe(F.col("__c")))
+        .join(F.broadcast(numbers), F.col("__source").eqNullSafe(F.col("__c")))
         .withColumn("mix_block", F.expr(f"mix_start div {block}"))
-        .withColumn("__turn", F.expr("mix_block div __slots") * total)
-        .withColumn("__at", F.expr("mix_block % __slots"))
     )
-    at = F.col("__source").eqNullSafe(F.col("__t")) & (F.col("__at") == F.col("__i"))
-    return located.join(F.broadcast(table), at).select(
-        *keep,
-        "mix_block",
-        *[(F.col("__turn") + F.col(f"__{c}")).alias(f"mix_{c}") for c in ("slot", "release", "deadline")],
-        "mix_start",
+    at = (F.col("__k") == F.col("__t")) & (F.col("mix_block") == F.col("__i"))
+    return located.join(table, at).select(
+        *keep, "mix_block", *[F.col(f"__{c}").alias(f"mix_{c}") for c in ("slot", "release", "deadline")], "mix_start"
     )
 
 

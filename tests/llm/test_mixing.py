@@ -1,4 +1,5 @@
 import collections
+from fractions import Fraction
 
 import pytest
 from duotier.llm import mixing as M
@@ -84,3 +85,32 @@ def test_mixed_order_keeps_rows_and_columns(spark):
 def test_empty(spark):
     assert M.mix(edge.docs(spark, empty=True)).collect() == []
     assert M.in_mixed_order(edge.docs(spark, empty=True)).collect() == []
+
+
+def test_deviation_from_the_weights_stays_below_one_block():
+    for shares in ([0.3333 ** 0.7] + [(0.6667 / 19) ** 0.7] * 19, [1.0, 1e-4, 0.37, 0.2], [1 / (k + 1) for k in range(300)]):
+        slots, blocks = M.fractions(shares), 20_000
+        w = [Fraction(x) / sum(map(Fraction, shares)) for x in shares]
+        assert [Fraction(n, sum(slots)) for n in slots] == w
+        plan = M.schedule(slots, [int(blocks * x) + 1 for x in w])
+        got = [0] * len(w)
+        for k, i, slot, release, deadline in plan:
+            assert i == got[k] and release == i // w[k] and deadline == -(-(i + 1) // w[k])
+            assert release <= slot < deadline
+            got[k] += 1
+        assert len({p[2] for p in plan}) == len(plan) and got == [int(blocks * x) + 1 for x in w]
+
+
+def test_twenty_sources_keep_the_default_weights(spark):
+    sizes = {f"s{k:02}": 6000 if not k else 630 for k in range(20)}
+    rows = [(i, "x" * 10, s) for i, (s, n) in enumerate((s, n) for s, n in sizes.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = M.mix(df, block=10).select("source", "mix_slot").collect()
+    total = sum(n**0.7 for n in sizes.values())
+    slots = {s: sorted(r.mix_slot for r in got if r.source == s) for s in sizes}
+    ends = min(v[-1] for v in slots.values())
+    for s, n in sizes.items():
+        share = n**0.7 / total
+        for i, slot in enumerate(slots[s]):
+            if slot < ends:
+                assert abs(i - slot * share) < 1 + 1e-6 and abs(i + 1 - (slot + 1) * share) < 1 + 1e-6
