@@ -14,6 +14,10 @@ Each length's pieces are numbered across the corpus (a count per task and
 length, summed up), and the n-th piece of a length takes the n-th place of that
 length: a lookup in the bounded pattern table, without any group of pieces.
 
+Where the documents come in an order, pieces of a length are numbered in it and
+every pattern's sequences are dealt evenly over `CHUNKS` parts, so sequences
+follow the order as far as their lengths allow.
+
 Defined cases: a null text is empty and its piece holds the end id alone; a
 null doc_id keeps its pieces; repeated rows are all packed; an empty table
 gives an empty result; columns other than doc_id and text are not read."""
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +42,8 @@ from .tokens import tokenizer_path, worker_encoder
 
 SIZE = 2048
 END_ID = 0
+#: Parts of the corpus, one after the other, that the sequences of ordered documents are numbered by.
+CHUNKS = 256
 
 PIECE = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -207,11 +214,29 @@ def local_search(patterns: Counter, size: int) -> Counter:
     return Counter({p: n for p, n in found.items() if n and p})
 
 
-def places(patterns: Counter) -> list[tuple[int, int, int, int, int]]:
+def dealt(patterns: Counter, chunks: int) -> Iterator[tuple[Pattern, int]]:
+    """Patterns with numbers of sequences: each pattern's are spread over the chunks, and a chunk holds nearly the same number."""
+    parts: list[list[tuple[Pattern, int]]] = [[] for _ in range(chunks)]
+    for at, (pattern, n) in enumerate(sorted(patterns.items(), reverse=True)):
+        # sequence k of n lies at (k + start) / n of the way; starts go round evenly, as single sequences do
+        start, cuts = at * 0.6180339887498949 % 1, Counter()
+        if n <= chunks:
+            cuts.update(int((k + start) / n * chunks) for k in range(n))
+        else:
+            ends = [0, *(min(n, max(0, math.ceil((c + 1) * n / chunks - start))) for c in range(chunks - 1)), n]
+            cuts.update({c: ends[c + 1] - ends[c] for c in range(chunks)})
+        for c, m in cuts.items():
+            if m:
+                parts[c].append((pattern, m))
+    for part in parts:
+        yield from part
+
+
+def places(patterns: Counter, chunks: int = 1) -> list[tuple[int, int, int, int, int]]:
     """(length, from, to, sequence, offset): the pieces numbered from..to-1 of a length, in sequences from `sequence` on."""
     used: Counter = Counter()
     out, sequence = [], 0
-    for pattern, n in sorted(patterns.items(), reverse=True):
+    for pattern, n in dealt(patterns, chunks):
         offset = 0
         for length in pattern:
             out.append((length, used[length], used[length] + n, sequence, offset))
@@ -221,13 +246,13 @@ def places(patterns: Counter) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def assign(cut: DataFrame, size: int = SIZE) -> DataFrame:
+def assign(cut: DataFrame, size: int = SIZE, chunks: int = 1) -> DataFrame:
     """Pieces (a written table) with sequence_id and offset."""
     per_part = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = saved(per_part.select("part", "length", "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before")), "counts")
     counts = {r.length: r.n for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
-    table = sorted(places(local_search(best_fit(counts, size), size)))
+    table = sorted(places(local_search(best_fit(counts, size), size), chunks))
     plan = cut.sparkSession.sparkContext.broadcast(np.array(table, np.int64).reshape(-1, 5))  # a few patterns per length
     numbered = cut.join(before.select("part", "length", "before"), ["part", "length"])
     numbered = numbered.withColumn("rank", F.col("nth") + F.col("before")).drop("part", "nth", "before")
@@ -247,9 +272,11 @@ def assign(cut: DataFrame, size: int = SIZE) -> DataFrame:
     return numbered.mapInArrow(look_up, schema)
 
 
-def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, tokenizer: str | None = None, ids: bool = False) -> DataFrame:
-    """Pieces with their place: sequence_id and offset in it."""
-    return assign(saved(pieces(docs, size, end_id, tokenizer, ids), "pieces"), size)
+def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, tokenizer: str | None = None, ids: bool = False, ordered: bool = False) -> DataFrame:
+    """Pieces with their place: sequence_id and offset in it.
+
+    With `ordered`, the order of `docs` (by partition, then by row) is that of the sequences, too."""
+    return assign(saved(pieces(docs, size, end_id, tokenizer, ids), "pieces"), size, CHUNKS if ordered else 1)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
