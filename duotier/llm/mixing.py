@@ -105,7 +105,8 @@ def placed(rows: DataFrame, n_rows: int) -> DataFrame:
         F.col("__source").alias("__s"), F.col("__bucket").alias("__b"),
         F.coalesce(F.sum("__sum").over(w), F.lit(0)).alias("__before"),
     )
-    inside = Window.partitionBy("__source", "__bucket").orderBy("__key", "__id", "__size")
+    # the key without a sign, as in the buckets: one order at every number of rows
+    inside = Window.partitionBy("__source", "__bucket").orderBy(F.col("__key").bitwiseXOR(F.lit(-(1 << 63))), "__id", "__size")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     return (
         keyed.withColumn("__inside", F.coalesce(F.sum("__size").over(inside), F.lit(0)))

@@ -114,3 +114,12 @@ def test_twenty_sources_keep_the_default_weights(spark):
         for i, slot in enumerate(slots[s]):
             if slot < ends:
                 assert abs(i - slot * share) < 1 + 1e-6 and abs(i + 1 - (slot + 1) * share) < 1 + 1e-6
+
+
+def test_order_is_the_same_at_every_number_of_buckets(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x" * (i % 7 + 1), "a") for i in range(200)], "doc_id long, text string, source string")
+    starts = []
+    for per_bucket in (1, 20, 20_000):
+        monkeypatch.setattr(M, "ROWS_PER_BUCKET", per_bucket)
+        starts.append({r.doc_id: r.mix_start for r in M.mix(df).collect()})
+    assert starts[0] == starts[1] == starts[2]
