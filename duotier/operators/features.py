@@ -47,22 +47,19 @@ def clean_tokens(text, stop: tuple[str, ...] | None = None) -> Column:
 
 
 def ngrams(tok: Column, n: int = C.NGRAM_MAX) -> Column:
-    """Unigrams followed by all 2..n-grams of a token array (space-joined)."""
-    out = tok
+    """Unigrams followed by all 2..n-grams of a token array (space-joined).
+
+    k-grams are the (k-1)-grams side by side with the tokens that follow them, so every array is evaluated once
+    per row; a lambda that looked tokens up by place would evaluate `tok` again for each of them."""
+    out = grams = tok
     for k in range(2, n + 1):
-        idx = F.sequence(F.lit(1), F.size(tok) - (k - 1))
-        grams = F.transform(idx, _gram_at(tok, k))
-        out = F.concat(out, F.when(F.size(tok) >= k, grams).otherwise(F.array().cast("array<string>")))
+        left = F.slice(grams, F.lit(1), F.greatest(F.size(grams) - 1, F.lit(0)))
+        right = F.slice(tok, F.lit(k), F.greatest(F.size(tok) - (k - 1), F.lit(0)))
+        grams = F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b))
+        out = F.concat(out, grams)
     return out
 
 
-def _gram_at(tok: Column, k: int):
-    def gram(i: Column) -> Column:
-        return F.concat_ws(" ", *[F.element_at(tok, i + j) for j in range(k)])
-
-    return gram
-
-
 def term_array(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None = None, n: int = C.NGRAM_MAX) -> DataFrame:
     """(id, _terms): every term occurrence of each row, in the row.
 
@@ -73,8 +70,12 @@ def term_array(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None =
 
 
 def terms(df: DataFrame, cols: Cols = COLS, stop: tuple[str, ...] | None = None, n: int = C.NGRAM_MAX) -> DataFrame:
-    """(id, term) for every term occurrence of every row."""
-    return term_array(df, cols, stop, n).select(cols.id, F.explode("_terms").alias("term"))
+    """(id, term) for every term occurrence of every row.
+
+    Not the inner `explode`: from that the optimizer infers size(_terms) > 0 and moves it below the projections,
+    where the whole text is tokenised once more for it."""
+    every = term_array(df, cols, stop, n).select(cols.id, F.explode_outer("_terms").alias("term"))
+    return every.where(F.col("term").isNotNull())
 
 
 def vocabulary(df: DataFrame, k: int = C.VOCAB_SIZE, cols: Cols = COLS, stop=None, n: int = C.NGRAM_MAX) -> DataFrame:

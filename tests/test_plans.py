@@ -1,8 +1,13 @@
 """Plan shapes: broadcast joins for bounded sides, top-k as TakeOrderedAndProject,
 pushed-down filters and pruned columns at the scan, no per-group window in the split."""
 
+import time
+
+import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
+from duotier.config import Cols
 from duotier.operators import features
 from duotier.plans.queries import QUERIES
 from duotier.sources import adapters as A
@@ -46,7 +51,6 @@ def test_lexical_answerer_broadcasts_code_tokens(spark):
 
 def test_a_token_of_all_codes_makes_no_pairs(spark):
     from duotier.operators.overlap import best_overlap
-    from pyspark.sql import functions as F
 
     targets = spark.createDataFrame([(f"c{i}", i, ["every", f"own{i}"]) for i in range(50)], "name string, ord int, tokens array<string>")
     rows = spark.createDataFrame([(i, ["every", f"own{i}"] if i < 50 else ["every"] if i < 60 else ["none"]) for i in range(70)], "id int, tok array<string>")
@@ -60,3 +64,22 @@ def test_a_token_of_all_codes_makes_no_pairs(spark):
 def test_feedback_groups_corrected_ids_only(spark):
     p = plan(QUERIES["augment_report"](spark, SF["tiny"]))
     assert "LeftSemi" in p
+
+
+@pytest.mark.parametrize("name", ["vocab_topk", "term_freq", "tfidf", "idf", "lines_tfidf", "tfidf_apply"])
+def test_texts_are_tokenised_in_one_projection_only(spark, name):
+    lines = QUERIES[name](spark, SF["tiny"])._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in lines if "Filter" in x.split("(")[0] and "regexp_extract_all" in x]
+
+
+def test_a_very_long_text_is_tokenised_in_linear_time(spark):
+    text = " ".join(f"word{k % 977}" for k in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "one"), (5, "the one")], "doc_id long, text string")
+    cols = Cols(id="doc_id", text="text")
+    begin = time.perf_counter()
+    got = features.top_terms(features.terms(df, cols), 3).collect()
+    assert time.perf_counter() - begin < 30
+    assert [(r.term, r.freq) for r in got] == [("word0", 21), ("word0 word1", 21), ("word1", 21)]
+    assert features.terms(df.where("doc_id > 1"), cols).count() == 2
+    grams = df.where("doc_id = 1").select(F.size(features.ngrams(F.split("text", " "), 3)).alias("n")).first().n
+    assert grams == 20_000 + 19_999 + 19_998
