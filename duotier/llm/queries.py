@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import binary, license, lm, mixing, packing, pii, quality, simhash, spans, topk
+from . import binary, license, lm, mixing, packing, periodic, pii, quality, simhash, spans, topk
 from .common import documents
 
 QUERIES = {}
@@ -74,3 +74,9 @@ def op9_pii(spark, d):
 def op10_packing(spark, d):
     """Place of every piece of every document in sequences of 2048 ids."""
     return packing.pack(documents(spark, d))
+
+
+@query("op13_periodic")
+def op13_periodic(spark, d):
+    """Periodic runs of words in every document, with planted periods, and what is left without their repeats."""
+    return periodic.digests(periodic.find(periodic.with_repeats(documents(spark, d))))
