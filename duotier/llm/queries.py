@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import binary, license, lm, mixing, packing, periodic, pii, quality, simhash, spans, topk, whiten
+from . import binary, lattice, license, lm, mixing, packing, periodic, pii, quality, simhash, spans, topk, whiten
 from .common import documents
 
 QUERIES = {}
@@ -76,6 +76,12 @@ def op10_packing(spark, d):
     return packing.pack(documents(spark, d))
 
 
+@query("op11_lattice")
+def op11_lattice(spark, d):
+    """Links and component of every vector among those of its label."""
+    return lattice.near_duplicates(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
 @query("op12_whitening")
 def op12_whitening(spark, d):
     """The first 16 whitened coordinates of every vector, and its distance from the mean."""
