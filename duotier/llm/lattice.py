@@ -343,6 +343,19 @@ def group_result(key: int, cross: bool, own: np.ndarray, home: np.ndarray, cid:
     return cid, counts.astype(np.int64), low
 
 
+def far_pairs(raw: list[bytes], firsts: np.ndarray, kind: str, min_cosine: float) -> np.ndarray:
+    """Marks, at the first of its two members, each of most groups: two vectors that are clearly no link."""
+    out = np.zeros(len(raw), bool)
+    by_size: dict[int, list[int]] = {}
+    for p in firsts.tolist():
+        if len(raw[p]) == len(raw[p + 1]):
+            by_size.setdefault(len(raw[p]), []).append(p)
+    for at in by_size.values():
+        a, b = (units(np.frombuffer(b"".join(raw[p + k] for p in at), kind).reshape(len(at), -1).astype(float)) for k in (0, 1))
+        out[at] = (a * b).sum(axis=1) < min_cosine - CLOSE
+    return out
+
+
 def meetings(dealt: DataFrame, kind: str, min_cosine: float) -> DataFrame:
     """(cid, links, low) of every member that links, from each group."""
     schema = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
@@ -355,8 +368,10 @@ def meetings(dealt: DataFrame, kind: str, min_cosine: float) -> DataFrame:
             key, lo, hi, own, _, home, cid, n, label = (table.column(c).to_numpy() for c in columns[:-1])
             raw = table.column("v").to_pylist()
             cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)) + 1
-            for p, q in zip(np.append(0, cuts), np.append(cuts, len(key))):
-                if q - p < 2:
+            begins, ends = np.append(0, cuts), np.append(cuts, len(key))
+            far = far_pairs(raw, begins[ends - begins == 2], kind, min_cosine)
+            for p, q in zip(begins, ends):
+                if q - p < 2 or (q - p == 2 and far[p]):
                     continue
                 sizes = {len(x) for x in raw[p:q]}
                 for size in sizes:  # more than one only where hashes of two dimensions are equal
