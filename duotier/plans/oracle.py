@@ -523,6 +523,7 @@ SQL["ngrams"] = _q(
 FROM (SELECT item_id, {_ngrams('t')} AS g FROM (SELECT item_id, {_clean('product_description')} AS t FROM items_v) a) x"""
 )
 SQL["vocab_topk"] = _q("SELECT term, freq FROM vocab", TFIDF_DOCS)
+SQL["vocab_exact_summaries"] = _q("SELECT v.term, v.freq, i.df FROM vocab v JOIN idf i USING (term)", TFIDF_DOCS)
 SQL["term_freq"] = _q("SELECT item_id, term, tf FROM tf", TFIDF_DOCS)
 SQL["idf"] = _q("SELECT term, df, round(idf, 9) AS idf FROM idf", TFIDF_DOCS)
 SQL["tfidf"] = _q(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import COLS
 from ..functions.text import tokens
-from ..operators import answers, evaluate, features, gate, merge, monitor, prep, retrain, zero_shot
+from ..operators import answers, evaluate, features, gate, heavy, merge, monitor, prep, retrain, zero_shot
 from ..operators.rank import dense_codes
 from ..sources import adapters as A
 from ..sources import sinks
@@ -422,6 +422,12 @@ def q_vocab_topk(spark, d):
     return features.top_terms(features.terms(A.docs(spark, d)), C.VOCAB_SIZE)
 
 
+@query("vocab_exact_summaries")
+def q_vocab_exact_summaries(spark, d):
+    """The vocabulary from mergeable summaries and exact counts of their candidates."""
+    return heavy.vocabulary(A.docs(spark, d), C.VOCAB_SIZE)
+
+
 @query("term_freq")
 def q_term_freq(spark, d):
     docs = A.docs(spark, d)
