@@ -1,6 +1,7 @@
 import re
 
 import xxhash
+from duotier.llm import shards
 from duotier.llm import spans as S
 
 import edge
@@ -106,3 +107,14 @@ def test_all_runs_of_copies_and_planted_passages_go(spark):
     for k in range(1, 4):
         assert not set(plain.split()) & set(got[10 + k].text.split()) and got[10 + k].n_removed == 55
     check(got.values(), all_runs(rows))
+
+
+def test_results_do_not_depend_on_batches_and_shards(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    again = df.select("doc_id", "text").where("doc_id % 3 = 0").union(df.selectExpr("doc_id + 1", "text").where("doc_id % 4 = 0"))
+    df = df.select("doc_id", "text").union(again).union(edge.docs(spark).select("doc_id", "text")).repartition(5)
+    order = lambda r: tuple((v is not None, v) for v in r)
+    want = sorted(map(tuple, S.deduplicate(df).collect()), key=order)
+    monkeypatch.setattr(S, "BATCH", 20_000)
+    monkeypatch.setattr(shards, "SHARD_KEYS", 500)
+    assert sorted(map(tuple, S.deduplicate(df).drop("n_repeated").collect()), key=order) == [(*r[:2], *r[3:]) for r in want]
