@@ -66,29 +66,55 @@ def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
     return out
 
 
+def pieces(text: bytes) -> tuple[list[bytes], np.ndarray]:
+    """Words (joined by a space) and number of words of each sentence, without its place."""
+    words, counts, begin = [], [], 0
+    ends = [m.end() for m in END.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    for end in ends:
+        own = text[begin:end].split()
+        begin = end
+        if len(own) > LONG:
+            words += own
+            counts += [1] * len(own)
+        elif own:
+            words.append(b" ".join(own))
+            counts.append(len(own))
+    return words, np.array(counts, np.int64)
+
+
+def bounds(counts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last sentence) of the shortest span of enough sentences and words from each sentence on, and up to each."""
+    n = len(counts)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    i = np.arange(n)
+    j = np.maximum(np.searchsorted(before, before[:-1] + min_words) - 1, i + MIN_SENTENCES - 1)
+    i, j = i[j < n], j[j < n]
+    # up to each sentence, but those that are one from a sentence on
+    last = np.arange(n)
+    first = np.minimum(np.searchsorted(before, before[1:] - min_words, side="right") - 1, last - MIN_SENTENCES + 1)
+    new = first >= 0
+    known = np.full(n, -1)
+    known[i] = j
+    new &= known[first] != last
+    order = np.argsort(np.concatenate([i, first[new]]), kind="stable")
+    return np.concatenate([i, first[new]])[order], np.concatenate([j, last[new]])[order]
+
+
+def hashed(text: bytes, digest, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Hashes, first and last sentences of a text's spans by first sentence, and its number of sentences."""
+    words, counts = pieces(text)
+    i, j = bounds(counts, min_words)
+    joined = b"\n".join(words)
+    begins = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])
+    places = zip(begins[i].tolist(), (begins[j + 1] - 1).tolist())
+    return np.fromiter((digest(joined[a:b], 0) for a, b in places), np.uint64, len(i)), i, j, len(words)
+
+
 def spans(text: bytes, digest, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(hash, first, last sentence) of the shortest span of enough sentences and words from each sentence on, and up to each."""
-    found = sentences(text)
-    out, n, j = [], 0, -1
-    for i in range(len(found)):
-        while j + 1 < len(found) and (n < min_words or j - i + 1 < MIN_SENTENCES):
-            j += 1
-            n += found[j][3]
-        if n < min_words or j - i + 1 < MIN_SENTENCES:
-            break
-        out.append((i, j))
-        n -= found[i][3]
-    # up to each sentence; where no other starts at i and ends there, it is one of those from i on
-    forward, n, i = len(out), 0, 0
-    for j in range(len(found)):
-        n += found[j][3]
-        while j - i >= MIN_SENTENCES and n - found[i][3] >= min_words:
-            n -= found[i][3]
-            i += 1
-        if n >= min_words and j - i + 1 >= MIN_SENTENCES and (i >= forward or out[i][1] != j):
-            out.append((i, j))
-    words = [s[2] for s in found]
-    return [(digest(b"\n".join(words[i : j + 1]), 0), i, j) for i, j in out]
+    """(hash, first, last sentence) of each span of a text."""
+    return list(zip(*(x.tolist() for x in hashed(text, digest, min_words)[:3])))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -148,20 +174,15 @@ def unpacked(row: tuple) -> tuple[list, np.ndarray, list]:
 class Places:
     """All spans of a batch: documents in order, a document's spans by first sentence.
 
-    doc, i, j: of every span; keys: distinct hashes in the order of their first places; number: each span's key;
+    doc, i, j: of every span; sentences: number of them in each text; keys: distinct hashes in the order of their first places; number: each span's key;
     first: whether a span is its key's first place here (a repeated document's is, too)."""
 
     def __init__(self, ids: list, hashes: np.ndarray, texts: list, min_words: int, digest):
-        counts, flat = [], []
-        for t in texts:
-            own = spans(t or b"", digest, min_words)
-            own.sort(key=lambda s: s[1])
-            counts.append(len(own))
-            flat += own
-        found, i, j = zip(*flat) if flat else ((), (), ())
-        self.i, self.j = np.array(i, np.int64), np.array(j, np.int64)
+        own = [hashed(t or b"", digest, min_words) for t in texts]
+        found, self.i, self.j = (np.concatenate([o[k] for o in own]) for k in range(3))
+        counts, self.sentences = [len(o[0]) for o in own], [o[3] for o in own]
         self.doc = np.repeat(np.arange(len(texts)), counts)
-        keys, at, number = np.unique(np.array(found, np.uint64), return_index=True, return_inverse=True)
+        keys, at, number = np.unique(found, return_index=True, return_inverse=True)
         order = np.argsort(at)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -243,14 +264,13 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 first = places.first & (answer[places.number] != 1)
                 ends = np.searchsorted(places.doc, np.arange(1, len(ids) + 1))
                 out, begin = [], 0
-                for doc_id, t, end in zip(ids, texts, ends.tolist()):
-                    cut = sentences(t or b"")
+                for doc_id, t, n, end in zip(ids, texts, places.sentences, ends.tolist()):
                     own = np.flatnonzero(repeated[begin:end]) + begin
-                    seen, gone = covered(places, own, len(cut)), covered(places, own[~first[own]], len(cut))
+                    seen, gone = covered(places, own, n), covered(places, own[~first[own]], n)
                     begin = end
                     if gone.any():
-                        t = b"".join(t[s[0] : s[1]] for s, out_of in zip(cut, gone.tolist()) if not out_of)
-                    out.append((doc_id, len(cut), int(seen.sum()), int(gone.sum()), None if t is None else t.decode()))
+                        t = b"".join(t[s[0] : s[1]] for s, out_of in zip(sentences(t), gone.tolist()) if not out_of)
+                    out.append((doc_id, n, int(seen.sum()), int(gone.sum()), None if t is None else t.decode()))
                 for k in range(0, len(out), 500):
                     columns = zip(*out[k : k + 500])
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
