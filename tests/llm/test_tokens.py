@@ -163,3 +163,22 @@ def test_patterns_hold_every_length_and_search_never_adds(counts):
     assert sum(last.values()) <= sum(first.values())
     squares = [sum(sum(p) ** 2 * n for p, n in x.items()) for x in (first, last)]
     assert squares[1] >= squares[0]
+
+
+def test_slices_are_read_from_checkpoints(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(8)
+    ids = rng.zipf(1.4, 70_000).clip(max=40_000).astype("<u4")
+    data = B.encode_segment([1], [ids.tobytes()], block=1 << 14)
+    for begin, end in [(0, 70_000), (0, 1), (69_999, 70_000), (16_384, 32_768), (16_383, 16_385), (12_345, 54_321), (5, 5), (69_000, 90_000)]:
+        assert (B.decode_slice(data, begin, end) == ids[begin:end]).all()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    path = f"{tmp_path}/tokens"
+    B.write(docs, path, segment=5000)
+    whole = b"".join(bytes(r.ids) for r in sorted(B.read(spark, path).collect(), key=lambda r: r.start))
+    got = sorted(map(tuple, B.read_slice(spark, path, 1234, 20_001).collect()))
+    assert got[0][0] == 1234 and b"".join(bytes(ids) for _, ids in got) == whole[4 * 1234 : 4 * 20_001] and len(got) > 2
+    assert B.read_slice(spark, path, 10**12, 10**12 + 5).count() == 0
+    monkeypatch.setattr(B, "SHORT", 1000)  # ids of four bytes give the same file
+    B.write(docs, path + "4", segment=5000)
+    key = lambda r: (r.doc_id, r.start)
+    assert sorted(B.digests(spark, path).collect(), key=key) == sorted(B.digests(spark, path + "4").collect(), key=key)
