@@ -22,3 +22,23 @@ ROWS = [
 def docs(spark, empty=False):
     rows = [] if empty else [(*r, 1.5, "x", 3, "y") for r in ROWS]
     return spark.createDataFrame(rows, SCHEMA)
+
+
+#: Names that operators use inside, as columns of the caller's: they must neither clash nor be replaced.
+INNER = (
+    "is_target __fp fp __text __k_fp k_fp __k_id __k_text __size __key __id __source __bucket __row __t __i __c __k __s __b "
+    "__before __inside __slot mix_slot mix_block mix_start row id h key n size batch shard answers places span first d g "
+    "head width ids length piece rank sequence_id offset token words lines label root cid score least_id component_id q t part"
+).split()
+
+
+def named(df):
+    """`df` with every inner name as a column that holds that name."""
+    from pyspark.sql import functions as F
+
+    return df.select(*[c for c in df.columns if c not in INNER], *[F.lit(c).alias(c) for c in INNER])
+
+
+def intact(df, columns):
+    """Whether `df` has these columns and each inner name still holds itself."""
+    return df.columns == columns and all(r[c] == c for r in df.select(*[c for c in columns if c in INNER]).distinct().collect() for c in r.asDict())
