@@ -16,8 +16,9 @@ Defined cases: a null source is a source of its own; null and empty texts take
 no room; a document longer than a block takes its source's next blocks, too;
 repeated rows are all placed; a null doc_id is a value like any other; sources
 without a weight of their own get those of `temperature`; a weight below 1e-12
-of the largest (zero, too) counts as that; an empty table gives an empty result; extra columns are passed through, the operator's own columns
-replace any of the same names."""
+of the largest (zero, too) counts as that; an empty table gives an empty result;
+extra columns are passed through whatever their names, but `mix` replaces any
+that are named like its own (mix_slot and so on)."""
 
 from __future__ import annotations
 
@@ -84,10 +85,10 @@ def schedule(slots: list[int], blocks: list[int] | None = None) -> list[tuple[in
 
 
 def sized(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """`keep` with each row's size in characters and its key in the shuffled order."""
+    """`keep` as one column, so that no name can clash, with each row's size in characters and its key in the shuffled order."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
-        *keep,
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("__row"),
         F.length(text).cast("long").alias("__size"),
         F.xxhash64("doc_id", text).alias("__key"),
         F.col("doc_id").alias("__id"),
@@ -126,8 +127,16 @@ def mix(
     """Columns `keep` (default: all) with mix_slot, mix_block, mix_release, mix_deadline and mix_start.
 
     (mix_slot, mix_start) is the mixed order.  A caller's `period` rounds the weights to whole slots of that period."""
-    spark = docs.sparkSession
     keep = [c for c in docs.columns if c not in OWN] if keep is None else keep
+    found, _ = located(docs, keep, weights, block, period, temperature)
+    return found.select("__row.*", *OWN)
+
+
+def located(
+    docs: DataFrame, keep: list[str], weights: dict[str | None, float] | None, block: int, period: int | None, temperature: float
+) -> tuple[DataFrame, int]:
+    """Columns `keep` as one (__row) with the operator's own, and the last slot that holds a block."""
+    spark = docs.sparkSession
     rows = sized(docs, keep)
     totals = rows.groupBy("__source").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n"))
     totals = totals.limit(MAX_SOURCES + 1).collect()
@@ -144,22 +153,27 @@ def mix(
     table = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=list(names)))
     table = F.broadcast(table) if len(plan) <= BROADCAST_BLOCKS else table
     numbers = spark.createDataFrame([(r["__source"], k) for k, r in enumerate(totals)], "__c string, __k long")
-    located = (
+    found = (
         placed(rows, sum(r["n"] for r in totals))
         .join(F.broadcast(numbers), F.col("__source").eqNullSafe(F.col("__c")))
         .withColumn("mix_block", F.expr(f"mix_start div {block}"))
     )
     at = (F.col("__k") == F.col("__t")) & (F.col("mix_block") == F.col("__i"))
-    return located.join(table, at).select(
-        *keep, "mix_block", *[F.col(f"__{c}").alias(f"mix_{c}") for c in ("slot", "release", "deadline")], "mix_start"
-    )
+    named = [F.col(f"__{c}").alias(f"mix_{c}") for c in ("slot", "release", "deadline")]
+    found = found.join(table, at).select("__row", "mix_block", *named, "mix_start")
+    return found, max((slot for _, _, slot, _, _ in plan), default=0)
 
 
-def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
+def in_mixed_order(
+    docs: DataFrame,
+    weights: dict[str | None, float] | None = None,
+    block: int = BLOCK,
+    period: int | None = None,
+    temperature: float = TEMPERATURE,
+) -> DataFrame:
     """The rows and columns of `docs` in the mixed order: range by range of slots, sorted within each."""
-    mixed = mix(docs, **options)
+    mixed, last = located(docs, docs.columns, weights, block, period, temperature)
     # slots are dealt evenly from 0 on, so their ranges need no sampling; the end is the last block's turn
-    last = mix(docs, **options | {"keep": ["doc_id"]}).agg(F.max("mix_slot")).first()[0] or 0
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.least(F.lit(parts - 1), F.floor(F.col("mix_slot") * parts / (last + 1)).cast("int"))
-    return mixed.repartitionById(parts, part).sortWithinPartitions("mix_slot", "mix_start").select(*docs.columns)
+    return mixed.repartitionById(parts, part).sortWithinPartitions("mix_slot", "mix_start").select("__row.*")

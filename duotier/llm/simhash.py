@@ -120,7 +120,7 @@ def group_links(fp: np.ndarray, start: int, max_bits: int) -> np.ndarray:
     pairs = []
     for at in range(0, n, 256):
         x = fp[at : at + 256, None] ^ fp[None, :]
-        i, j = np.nonzero(np.bitwise_count(x) <= max_bits) if n > 64 else np.nonzero(chain_ok(x, start, max_bits))
+        i, j = np.nonzero(chain_ok(x, start, max_bits))
         keep = i + at < j
         pairs.append((i[keep] + at, j[keep]))
     a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
@@ -236,27 +236,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component with all its columns: that of the smallest doc_id (a null one only where no other is)."""
-    schema = docs.withColumn("__fp", F.lit(0).cast("long")).schema
     at = docs.columns.index("text")
     small_batches(docs.sparkSession)
+    # the caller's columns travel in one, so that none of their names can clash
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    packed = docs.select(whole, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
+    schema = packed.withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
-            got = [fingerprint((t or "").encode(), shingle, xxhash.xxh64_intdigest) for t in b.column(at).to_pylist()]
+            texts = b.column(0).field(at).to_pylist()
+            got = [fingerprint((t or "").encode(), shingle, xxhash.xxh64_intdigest) for t in texts]
             fp = pa.array(np.array(got, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*b.columns, fp], names=[*b.schema.names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns, fp], names=[*b.schema.names, "fp"])
 
-    rows = saved(docs.mapInArrow(run, schema), "rows").withColumn("__text", F.xxhash64("text"))
-    named = classes(rows.select(F.col("__fp").alias("fp")), max_bits)
-    members = rows.select(F.col("__fp").alias("fp"), F.col("doc_id").alias("id"), F.col("__text").alias("h"))
+    rows = saved(packed.mapInArrow(run, schema), "rows")
+    named = classes(rows.select("fp"), max_bits)
     order = F.struct(F.col("id").isNull().alias("x"), "id", "h", "fp")
-    chosen = members.groupBy("fp").agg(F.min(order).alias("k")).join(named, "fp").groupBy("root").agg(F.min("k").alias("k"))
-    chosen = chosen.select(F.col("k.fp").alias("__k_fp"), F.col("k.id").alias("__k_id"), F.col("k.h").alias("__k_text"))
-    same = (
-        (F.col("__fp") == F.col("__k_fp"))
-        & F.col("doc_id").eqNullSafe(F.col("__k_id"))
-        & (F.col("__text") == F.col("__k_text"))
-    )
-    return rows.join(chosen, same).dropDuplicates(["__fp", "doc_id", "__text"]).select(*docs.columns)
+    chosen = rows.groupBy("fp").agg(F.min(order).alias("k")).join(named, "fp").groupBy("root").agg(F.min("k").alias("k"))
+    chosen = chosen.select(F.col("k.fp").alias("k_fp"), F.col("k.id").alias("k_id"), F.col("k.h").alias("k_h"))
+    same = (F.col("fp") == F.col("k_fp")) & F.col("id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))
+    return rows.join(chosen, same).dropDuplicates(["fp", "id", "h"]).select("row.*")

@@ -123,3 +123,11 @@ def test_order_is_the_same_at_every_number_of_buckets(spark, monkeypatch):
         monkeypatch.setattr(M, "ROWS_PER_BUCKET", per_bucket)
         starts.append({r.doc_id: r.mix_start for r in M.mix(df).collect()})
     assert starts[0] == starts[1] == starts[2]
+
+
+def test_inner_names_as_columns(spark):
+    df = edge.named(edge.docs(spark))
+    got = M.in_mixed_order(df)
+    assert edge.intact(got, df.columns) and got.count() == len(edge.ROWS)
+    mixed = M.mix(df)
+    assert mixed.count() == len(edge.ROWS) and set(mixed.columns) == set(df.columns) | set(M.OWN)

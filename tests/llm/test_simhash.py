@@ -106,3 +106,20 @@ def test_given_tables(spark):
     assert {tuple(r) for r in S.near_duplicates(df).collect()} == want
     longer = S.near_duplicates(df.withColumn("text", F.concat("text", F.lit(""))), shingle=5)
     assert longer.count() == len(rows)
+
+
+def test_inner_names_as_columns(spark):
+    df = edge.named(edge.docs(spark))
+    assert S.near_duplicates(df).count() == len(edge.ROWS)
+    got = S.representatives(df)
+    assert edge.intact(got, df.columns) and got.count() == S.representatives(edge.docs(spark)).count()
+
+
+def test_chains_are_tested_in_groups_of_any_size():
+    rng = S.np.random.default_rng(4)
+    fp = rng.integers(0, 1 << 62, 200).astype(S.np.uint64)
+    fp[100:] = fp[:100] ^ S.np.uint64(1 << 40)  # one bit in the sixth segment
+    for start in range(S.RING):
+        label = S.group_links(fp, start, S.MAX_BITS)
+        linked = S.chain_ok(fp[:100] ^ fp[100:], start, S.MAX_BITS)
+        assert ((label[100:] == S.np.arange(100)) == linked).all()
