@@ -95,3 +95,6 @@ CHALLENGER = "Challenger"
 # 75 items answered for 0.15).
 COST_ML_PER_ITEM = 0.02 / 500
 COST_LLM_PER_ITEM = 0.15 / 75
+
+# Errors for which the risk report looks for a threshold (ours).
+WANTED_ERRORS = (0.0, 0.05, 0.1, 0.125, 0.14, 0.15, 0.2)

@@ -433,6 +433,51 @@ SQL["eval_hybrid"] = _q(
        count(*) FILTER (WHERE classification_method = 'llm_fallback' AND c.final_code <> c.ml_predicted_code) AS n_reclassified
 FROM classified_v c LEFT JOIN (SELECT item_id, truth_code FROM scored_v) t USING (item_id)"""
 )
+_CODE_REPORT = f"""pairs_v AS (
+  SELECT t.truth_code AS t, c.final_code AS f FROM classified_v c LEFT JOIN (SELECT item_id, truth_code FROM scored_v) t USING (item_id)),
+cut_v AS (SELECT l.level, CASE l.level WHEN 1 THEN substr(t, 1, 2) WHEN 2 THEN substr(t, 1, 5) ELSE t END AS t,
+                 CASE l.level WHEN 1 THEN substr(f, 1, 2) WHEN 2 THEN substr(f, 1, 5) ELSE f END AS f
+          FROM pairs_v, (VALUES (1), (2), (3)) l(level)),
+both_v AS (SELECT level, t AS code, count(*) AS support, 0 AS predicted, count(*) FILTER (WHERE t = f) AS hits FROM cut_v WHERE t IS NOT NULL GROUP BY ALL
+           UNION ALL SELECT level, f, 0, count(*), 0 FROM cut_v WHERE f IS NOT NULL GROUP BY ALL)"""
+SQL["code_report"] = _q(
+    f"""SELECT level, code, support, predicted, n_correct, {_ratio('n_correct', 'predicted')} AS precision,
+       {_ratio('n_correct', 'support')} AS recall, {_ratio('2 * n_correct', 'support + predicted')} AS f1
+FROM (SELECT level, code, CAST(sum(support) AS BIGINT) AS support, CAST(sum(predicted) AS BIGINT) AS predicted,
+             CAST(sum(hits) AS BIGINT) AS n_correct FROM both_v GROUP BY level, code) x""",
+    _CODE_REPORT,
+)
+_BY_CONFIDENCE = """byc AS (SELECT ml_confidence AS confidence, count(*) AS n, count(*) FILTER (WHERE ml_predicted_code = truth_code) AS n_correct
+         FROM scored_v WHERE ml_confidence IS NOT NULL GROUP BY ml_confidence),
+run AS (SELECT confidence, CAST(sum(n) OVER w AS BIGINT) AS n_accepted, CAST(sum(n - n_correct) OVER w AS BIGINT) AS n_wrong,
+               CAST((SELECT sum(n) FROM byc) AS BIGINT) AS total FROM byc WINDOW w AS (ORDER BY confidence DESC))"""
+SQL["risk_curve"] = _q(
+    f"""SELECT confidence, n_accepted, n_wrong, {_ratio('n_accepted', 'total')} AS coverage, {_ratio('n_wrong', 'n_accepted')} AS risk FROM run""",
+    _BY_CONFIDENCE,
+)
+SQL["risk_threshold"] = _q(
+    f"""SELECT w.e AS wanted_error, r.confidence AS threshold, r.n_accepted, {_ratio('r.n_accepted', 'r.total')} AS coverage,
+       {_ratio('r.n_wrong', 'r.n_accepted')} AS risk
+FROM (VALUES {', '.join(f'({_dbl(e)})' for e in C.WANTED_ERRORS)}) w(e)
+LEFT JOIN (SELECT e.e, min(confidence) AS least FROM run, (VALUES {', '.join(f'({_dbl(e)})' for e in C.WANTED_ERRORS)}) e(e)
+           WHERE {_ratio('n_wrong', 'n_accepted')} <= e.e GROUP BY e.e) m ON m.e = w.e
+LEFT JOIN run r ON r.confidence = m.least""",
+    _BY_CONFIDENCE,
+)
+# greatest, over all beginnings, of the least mean, over all ends, of a stretch that holds the value
+SQL["calibrated_confidence"] = _q(
+    """SELECT b.confidence, b.n, b.n_correct, m.calibrated FROM byc b JOIN (
+  SELECT k AS i, max(least) AS calibrated FROM (
+    SELECT p.k AS j, q.k AS k,
+           min(CAST(q.ok - p.ok + p.own_ok AS DOUBLE) / CAST(q.n - p.n + p.own_n AS DOUBLE))
+             OVER (PARTITION BY p.k ORDER BY q.k DESC) AS least
+    FROM pre p JOIN pre q ON p.k <= q.k) x
+  GROUP BY k) m ON m.i = (SELECT k FROM pre WHERE pre.confidence = b.confidence)""",
+    _BY_CONFIDENCE
+    + """,
+pre AS (SELECT confidence, row_number() OVER (ORDER BY confidence) AS k, n AS own_n, n_correct AS own_ok,
+               sum(n) OVER (ORDER BY confidence) AS n, sum(n_correct) OVER (ORDER BY confidence) AS ok FROM byc)""",
+)
 SQL["inference_profile"] = _q(
     f"""SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS DATE) AS bucket, CAST(user_id % 3 AS VARCHAR) AS model_version,
        count(*) AS n, count(DISTINCT event_type) AS n_predictions,
@@ -627,3 +672,5 @@ SQL["lines_classified"] = _for_lines(SQL["classified_items"])
 SQL["lines_signals"] = _for_lines(SQL["monitor_signals"])
 SQL["lines_vendor_onehot"] = _for_lines(SQL["vendor_onehot"])
 SQL["lines_tfidf"] = _for_lines(SQL["tfidf_apply"])
+SQL["lines_code_report"] = _for_lines(SQL["code_report"])
+SQL["lines_risk_curve"] = _for_lines(SQL["risk_curve"])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import COLS
 from ..functions.text import tokens
-from ..operators import answers, evaluate, features, gate, heavy, merge, monitor, prep, retrain, zero_shot
+from ..operators import answers, calibration, evaluate, features, gate, heavy, merge, monitor, prep, report, retrain, zero_shot
 from ..operators.rank import dense_codes
 from ..sources import adapters as A
 from ..sources import sinks
@@ -291,6 +291,48 @@ def q_eval_hybrid(spark, d):
     return evaluate.evaluate(_classified(spark, d), truth)
 
 
+@query("code_report")
+def q_code_report(spark, d):
+    """Precision, recall and F1 per code and level of the taxonomy."""
+    truth = A.scored(spark, d).select("item_id", COLS.truth)
+    return report.per_code(report.confusion(_classified(spark, d), truth))
+
+
+@query("lines_code_report")
+def q_lines_code_report(spark, d):
+    """The same over order lines."""
+    s = A.line_scored(spark, d)
+    classified = flows.classified_flow(s, A.line_responses(spark, d))
+    return report.per_code(report.confusion(classified, s.select("item_id", COLS.truth)))
+
+
+def _by_confidence(scored):
+    return calibration.counts(scored, COLS.confidence, F.col(COLS.predicted) == F.col(COLS.truth))
+
+
+@query("risk_curve")
+def q_risk_curve(spark, d):
+    """Coverage and risk of a gate at each confidence."""
+    return calibration.curve(_by_confidence(A.scored(spark, d)))
+
+
+@query("lines_risk_curve")
+def q_lines_risk_curve(spark, d):
+    return calibration.curve(_by_confidence(A.line_scored(spark, d)))
+
+
+@query("risk_threshold")
+def q_risk_threshold(spark, d):
+    """Least threshold for each wanted error."""
+    return calibration.thresholds(calibration.curve(_by_confidence(A.scored(spark, d))), C.WANTED_ERRORS)
+
+
+@query("calibrated_confidence")
+def q_calibrated_confidence(spark, d):
+    """Isotonic share of right guesses per confidence."""
+    return calibration.calibrate(_by_confidence(A.scored(spark, d)))
+
+
 @query("inference_profile")
 def q_inference_profile(spark, d):
     ev = A.table(spark, d, "events").select(
