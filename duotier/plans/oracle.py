@@ -485,6 +485,38 @@ SQL["inference_profile"] = _q(
        {_exact_avg('value', decimals=2)} AS mean_measure
 FROM events GROUP BY ALL"""
 )
+SQL["window_drift"] = _q(
+    """SELECT p.bucket, p.model_version, p.reference, p.n, p.n_ref, p.tv, p.js, k.ks
+FROM pd p LEFT JOIN kd k USING (bucket, model_version, reference)""",
+    """ev AS (SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS DATE) AS bucket, CAST(user_id % 3 AS VARCHAR) AS model_version,
+       event_type AS prediction, value AS measure FROM events),
+refs(kind, bucket, model_version, reference, ref_bucket) AS (
+  SELECT kind, bucket, model_version, unnest(['previous', 'baseline']), unnest([previous, baseline]) FROM (
+    SELECT *, lag(bucket) OVER (PARTITION BY kind, model_version ORDER BY bucket) AS previous,
+           min(bucket) OVER (PARTITION BY kind, model_version) AS baseline
+    FROM (SELECT DISTINCT 'p' AS kind, bucket, model_version FROM ev
+          UNION ALL SELECT DISTINCT 'm', bucket, model_version FROM ev WHERE measure IS NOT NULL) w) x
+  WHERE previous IS NOT NULL),
+pc AS (SELECT r.bucket, r.model_version, r.reference, e.prediction, count(*) FILTER (WHERE e.bucket = r.bucket) AS a,
+              count(*) FILTER (WHERE e.bucket = r.ref_bucket) AS b
+       FROM refs r JOIN ev e ON e.model_version = r.model_version AND e.bucket IN (r.bucket, r.ref_bucket) WHERE r.kind = 'p' GROUP BY ALL),
+pt AS (SELECT *, sum(a) OVER w AS ta, sum(b) OVER w AS tb FROM pc WINDOW w AS (PARTITION BY bucket, model_version, reference)),
+pd AS (SELECT bucket, model_version, reference, CAST(max(ta) AS BIGINT) AS n, CAST(max(tb) AS BIGINT) AS n_ref,
+              round(CAST(sum(abs(a * tb - b * ta)) AS DOUBLE) / (2.0::DOUBLE * max(ta) * max(tb)), 9) AS tv,
+              round(greatest(sum(CASE WHEN a > 0 THEN (a::DOUBLE / ta) * ln(2.0::DOUBLE * (a::DOUBLE / ta) / (a::DOUBLE / ta + b::DOUBLE / tb)) ELSE 0 END
+                  + CASE WHEN b > 0 THEN (b::DOUBLE / tb) * ln(2.0::DOUBLE * (b::DOUBLE / tb) / (a::DOUBLE / ta + b::DOUBLE / tb)) ELSE 0 END) / 2.0::DOUBLE,
+                  0.0::DOUBLE), 9) AS js
+       FROM pt GROUP BY ALL),
+mc AS (SELECT r.bucket, r.model_version, r.reference, e.measure, count(*) FILTER (WHERE e.bucket = r.bucket) AS a,
+              count(*) FILTER (WHERE e.bucket = r.ref_bucket) AS b
+       FROM refs r JOIN ev e ON e.model_version = r.model_version AND e.bucket IN (r.bucket, r.ref_bucket)
+       WHERE r.kind = 'm' AND e.measure IS NOT NULL GROUP BY ALL),
+mt AS (SELECT bucket, model_version, reference, sum(a) OVER w AS ca, sum(b) OVER w AS cb,
+              sum(a) OVER t AS ta, sum(b) OVER t AS tb
+       FROM mc WINDOW w AS (PARTITION BY bucket, model_version, reference ORDER BY measure), t AS (PARTITION BY bucket, model_version, reference)),
+kd AS (SELECT bucket, model_version, reference,
+              round(CAST(max(abs(ca * tb - cb * ta)) AS DOUBLE) / (CAST(max(ta) AS DOUBLE) * CAST(max(tb) AS DOUBLE)), 9) AS ks FROM mt GROUP BY ALL)""",
+)
 SQL["classified_profile"] = _q(
     f"""SELECT CAST(time_bucket(INTERVAL '1 day', scored_at) AS DATE) AS bucket, model_version,
        count(*) AS n, count(DISTINCT final_code) AS n_predictions,

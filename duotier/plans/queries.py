@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import COLS
 from ..functions.text import tokens
-from ..operators import answers, calibration, evaluate, features, gate, heavy, merge, monitor, prep, report, retrain, zero_shot
+from ..operators import answers, calibration, drift, evaluate, features, gate, heavy, merge, monitor, prep, report, retrain, zero_shot
 from ..operators.rank import dense_codes
 from ..sources import adapters as A
 from ..sources import sinks
@@ -344,6 +344,24 @@ def q_inference_profile(spark, d):
     return monitor.inference_profile(ev, prediction="prediction", measure="value", measure_decimals=2)
 
 
+def _event_windows(spark, d):
+    ev = A.table(spark, d, "events").withColumn("model_version", (F.col("user_id") % 3).cast("string"))
+    return drift.windowed(ev, "ts", "model_version", "event_type", "value")
+
+
+@query("window_drift")
+def q_window_drift(spark, d):
+    """Distances of every day's predictions and measures to the day before and to the first."""
+    return drift.drift(_event_windows(spark, d))
+
+
+@query("window_drift_sketch")
+def q_window_drift_sketch(spark, d):
+    """The measure's distance from the kept sketches, to three decimals."""
+    kept = drift.sketch_drift(drift.sketches(_event_windows(spark, d)))
+    return kept.withColumn("ks", F.round("ks", 3))
+
+
 @query("classified_profile")
 def q_classified_profile(spark, d):
     return monitor.inference_profile(_classified(spark, d), measure_decimals=C.CONFIDENCE_DECIMALS)
