@@ -135,16 +135,20 @@ def monitor_and_retrain(
         holdout = split_strat(augmented, cols.label, C.RETRAIN_TEST_FRACTION, id_col=cols.id).where("is_test")
         champion = holdout_accuracy(spark, C.CHAMPION, holdout, cols)
     promo = retrain.promotion(runs.select("accuracy"), champion).first()
-    n_rows, n_corrections = augmented.count(), corrections.count()
+    flags = monitor.drift_flags(sig).first()  # one row
+    fired = {"avg_confidence": "conf_drift", "fallback_pct": "volume_drift"}
+    signals = {name: round(flags[name], 4) for name, flag in fired.items() if flags[flag]}
+    n_rows = augmented.count()
+    n_ids = corrections.agg(F.countDistinct(cols.id)).first()[0]
     run_id = registry.log_run(
         spark, algorithm,
-        {"algorithm": algorithm, "training_rows": n_rows, "corrections_included": n_corrections,
-         "retrain_reason": "drift_detected", "threshold": C.CONFIDENCE_THRESHOLD},
-        {"test_accuracy": promo["new_accuracy"]},
+        {"estimator": algorithm, "fit_rows": n_rows, "corrected_ids": n_ids, "gate": C.CONFIDENCE_THRESHOLD, **signals},
+        {"holdout_accuracy": promo["new_accuracy"]},
     )
+    because = ", ".join(f"{name} at {value}" for name, value in signals.items())
     v = registry.register(
         spark, PipelineModel(stages=[*fm.stages, model]), algorithm, promo["new_accuracy"],
-        description=f"Retrained on {n_rows} samples with {n_corrections} corrections. Accuracy: {promo['new_accuracy']:.4f}",
+        description=f"{algorithm} fitted to {n_rows} items, codes of {n_ids} ids taken from corrections, because of {because}",
         run_id=run_id,
     )
     registry.point_alias(spark, C.CHAMPION if promo["promoted"] else C.CHALLENGER, v)

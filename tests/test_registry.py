@@ -50,7 +50,7 @@ def test_retrain_on_the_same_holdout_registers_a_new_version(spark):
     made = registry.versions_table(spark).where(F.col("version") == versions).first()
     assert "corrections" in made["description"]
     run = registry.runs_table(spark).where(F.col("run_id") == made["run_id"]).first()
-    assert int(run["params"]["corrections_included"]) == A.corrections(spark, d).count()
+    assert int(run["params"]["corrected_ids"]) == A.corrections(spark, d).select("item_id").distinct().count()
 
 
 def test_latest_compares_text_versions_as_numbers(spark):
