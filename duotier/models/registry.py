@@ -3,7 +3,9 @@
 
 Aliases are never overwritten in place: setting an alias appends an event, and
 the current alias is the latest event per alias.  So no job overwrites a table
-it is reading.
+it is reading.  Version and event numbers are claimed before use
+(`sinks.claim`) and every row is written to a folder of its own, so writers in
+other sessions share neither a number nor a commit folder.
 """
 
 from __future__ import annotations
@@ -98,8 +100,7 @@ def resolve(aliases: DataFrame, versions: DataFrame, alias: str) -> DataFrame:
 # --- table-backed registry ----------------------------------------------------------
 
 def _read(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-    sinks.ensure_table(spark, name, schema)
-    return sinks.read_table(spark, name, schema)
+    return sinks.read_batches(spark, name, schema)
 
 
 def versions_table(spark: SparkSession) -> DataFrame:
@@ -119,26 +120,25 @@ def log_run(spark: SparkSession, algorithm: str, params: dict, metrics: dict) ->
     row = [(run_id, algorithm, {k: json.dumps(v) if not isinstance(v, str) else v for k, v in params.items()},
             {k: float(v) for k, v in metrics.items()}, None)]
     df = spark.createDataFrame(row, RUN_SCHEMA).withColumn("logged_at", F.current_timestamp())
-    sinks.append_table(df, RUNS)
+    sinks.append_batch(df, RUNS)
     return run_id
 
 
 def register(spark: SparkSession, model, algorithm: str, accuracy: float, threshold: float = C.CONFIDENCE_THRESHOLD,
-             description: str = "", run_id: str | None = None, tries: int = 20) -> int:
+             description: str = "", run_id: str | None = None) -> int:
     """Save the fitted pipeline under the next free version and add its version row, linked to its run.
 
-    A folder that exists belongs to another writer: its number is passed over."""
-    v = versions_table(spark).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    for v in range(v, v + tries):
-        path = f"{sinks.table_path(spark, 'models')}/v{v}"
-        if not sinks.table_exists(spark, path):
-            model.save(path)
-            break
-    else:
-        raise RuntimeError(f"no free model version after {tries} tries")
-    row = [(int(v), algorithm, float(accuracy), path, float(threshold), description, run_id, None)]
-    sinks.append_table(spark.createDataFrame(row, VERSION_SCHEMA).withColumn("created_at", F.current_timestamp()), VERSIONS)
-    return int(v)
+    The number is claimed first; a writer that dies after that leaves it unused."""
+    v = sinks.claim(spark, "versions", _next(versions_table(spark), "version"))
+    path = f"{sinks.table_path(spark, 'models')}/v{v}"
+    model.save(path)
+    row = [(v, algorithm, float(accuracy), path, float(threshold), description, run_id, None)]
+    sinks.append_batch(spark.createDataFrame(row, VERSION_SCHEMA).withColumn("created_at", F.current_timestamp()), VERSIONS)
+    return v
+
+
+def _next(table: DataFrame, number: str) -> int:
+    return int(table.agg(F.coalesce(F.max(number), F.lit(0)) + 1).first()[0])
 
 
 def run_of(spark: SparkSession, alias: str) -> DataFrame:
@@ -154,7 +154,9 @@ def stored_threshold(spark: SparkSession, alias: str = C.CHAMPION) -> float | No
 
 
 def point_alias(spark: SparkSession, alias: str, version: int) -> None:
-    sinks.append_table(set_alias(alias_log_table(spark), alias, version), ALIASES)
+    """Point `alias` at `version`; of two writers at once, the one with the later number wins."""
+    seq = sinks.claim(spark, "alias_events", _next(alias_log_table(spark), "seq"))
+    sinks.append_batch(spark.createDataFrame([(alias, int(version), seq)], ALIAS_SCHEMA), ALIASES)
 
 
 def load(spark: SparkSession, alias: str):

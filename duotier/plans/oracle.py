@@ -706,3 +706,72 @@ SQL["lines_vendor_onehot"] = _for_lines(SQL["vendor_onehot"])
 SQL["lines_tfidf"] = _for_lines(SQL["tfidf_apply"])
 SQL["lines_code_report"] = _for_lines(SQL["code_report"])
 SQL["lines_risk_curve"] = _for_lines(SQL["risk_curve"])
+SQL["lines_price_z"] = _for_lines(SQL["price_z"]).replace("round(s.price_eur, 9)", "s.price_eur")
+
+_FORM = """'{"iso_code":"' || truth_code || '"""
+_FORMS = [
+    "'not json'", """'["06 03 03"]'""",
+    _FORM + """","reason":"a","agrees_with_ml":true,"reason":"b"}'""",
+    _FORM + """","agrees_with_ml":true}'""",
+    _FORM + """","reason":"a","agrees_with_ml":true,"score":0.5,"also":{"x":[1]}}'""",
+    _FORM + """","reason":"a","agrees_with_ml":"yes"}'""",
+    _FORM + """","reason":null,"agrees_with_ml":true}'""",
+    """'{"iso_code":"99 99 99","reason":"name match","agrees_with_ml":true}'""",
+    """'{"iso_code":" ","reason":"name match","agrees_with_ml":true}'""",
+    _FORM + """","reason":"name match","agrees_with_ml":true} as asked'""",
+    "''",
+]
+_GOOD_FORM = _FORM + """","reason":"name match","agrees_with_ml":true}'"""
+_FIELDS = {"iso_code": "VARCHAR", "reason": "VARCHAR", "agrees_with_ml": "BOOLEAN"}
+
+
+def _first_field(condition: str) -> str:
+    return "coalesce(" + ", ".join(
+        "CASE WHEN " + condition.format(f=f, t=t) + f" THEN '{f}' END" for f, t in _FIELDS.items()) + ")"
+
+
+CONTRACT = f"""forms AS (
+  SELECT item_id, CASE {" ".join(f"WHEN k % 16 = {i} THEN {x}" for i, x in enumerate(_FORMS))}
+                       WHEN k % 16 > {len(_FORMS)} THEN {_GOOD_FORM} END AS response
+  FROM routed_v),
+valid AS (SELECT *, CASE WHEN json_valid(response) THEN response END AS json FROM forms),
+named AS (SELECT *, CASE WHEN json_type(json) = 'OBJECT' THEN json_keys(json) END AS names FROM valid),
+faults AS (
+  SELECT *, list_min(list_filter(names, lambda n: len(list_filter(names, lambda o: o = n)) > 1)) AS repeated,
+         {_first_field("NOT list_contains(names, '{f}')")} AS missing,
+         list_min(list_filter(names, lambda n: n NOT IN ({", ".join(f"'{f}'" for f in _FIELDS)}))) AS unknown,
+         {_first_field("json_type(json, '$.{f}') = 'NULL'")} AS empty,
+         {_first_field("json_type(json, '$.{f}') <> '{t}'")} AS wrong
+  FROM named),
+judged AS (
+  SELECT item_id, CASE WHEN response IS NULL OR trim(response) = '' THEN 'no_answer' WHEN repeated IS NOT NULL THEN 'duplicate_field'
+    WHEN json IS NULL THEN 'not_json' WHEN names IS NULL THEN 'not_object' WHEN missing IS NOT NULL THEN 'missing_field'
+    WHEN unknown IS NOT NULL THEN 'unknown_field' WHEN empty IS NOT NULL THEN 'null_field' WHEN wrong IS NOT NULL THEN 'wrong_type'
+    WHEN trim(json->>'$.iso_code') = '' THEN 'empty_code'
+    WHEN (json->>'$.iso_code') NOT IN (SELECT code FROM codes_v) THEN 'unknown_code' ELSE 'ok' END AS reason,
+    repeated, missing, unknown, empty, wrong
+  FROM faults),
+contract_v AS (
+  SELECT item_id, reason, CASE reason WHEN 'duplicate_field' THEN repeated WHEN 'missing_field' THEN missing
+    WHEN 'unknown_field' THEN unknown WHEN 'null_field' THEN empty WHEN 'wrong_type' THEN wrong
+    WHEN 'empty_code' THEN 'iso_code' WHEN 'unknown_code' THEN 'iso_code' END AS field
+  FROM judged)"""
+SQL["lines_answer_contract"] = _for_lines(_q("SELECT * FROM contract_v", CONTRACT))
+SQL["lines_contract_report"] = _for_lines(
+    _q("SELECT reason, field, count(*) AS n_answers FROM contract_v GROUP BY reason, field", CONTRACT))
+
+LEDGER = """pr AS (SELECT item_id, k, 'Code for: ' || coalesce(product_description, '') AS prompt,
+                 sha256('Code for: ' || coalesce(product_description, '')) AS prompt_digest FROM routed_v),
+le AS (SELECT prompt_digest, CASE WHEN response <> 'not json' THEN response END AS response,
+              CASE WHEN response = 'not json' THEN 'ValueError: not json' END AS error_message
+       FROM pr JOIN resp_v USING (item_id) WHERE k % 2 = 0),
+settled AS (SELECT prompt_digest, min(response) AS response, CASE WHEN count(response) = 0 THEN min(error_message) END AS error_message
+            FROM le GROUP BY prompt_digest)"""
+SQL["lines_ledger_pending"] = _for_lines(_q(
+    """SELECT prompt_digest, min(prompt) AS prompt, count(*) AS n_items FROM pr
+WHERE prompt_digest NOT IN (SELECT prompt_digest FROM le WHERE response IS NOT NULL) GROUP BY prompt_digest""", LEDGER))
+SQL["lines_ledger_answers"] = _for_lines(_q(
+    "SELECT item_id, prompt_digest, response, error_message FROM pr LEFT JOIN settled USING (prompt_digest)", LEDGER))
+SQL["lines_rescore_plan"] = _for_lines(_q(
+    """SELECT item_id, CASE WHEN k % 50 = 1 THEN 'new' WHEN k % 20 = 0 THEN 'changed' ELSE 'version' END AS why
+FROM scored_v WHERE k % 50 = 1 OR k % 20 = 0 OR k % 30 = 7"""))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import COLS
 from ..functions.text import tokens
-from ..operators import answers, calibration, drift, evaluate, features, gate, heavy, merge, monitor, prep, report, retrain, zero_shot
+from ..operators import answers, calibration, contract, drift, evaluate, features, gate, heavy, ledger, merge, monitor, prep, report, retrain, zero_shot
 from ..operators.rank import dense_codes
 from ..sources import adapters as A
 from ..sources import sinks
@@ -581,6 +581,72 @@ def q_top_class(spark, d):
     return gate.top_class(e, "embedding").select("vec_id", "best_index", "best_prob")
 
 
+@query("lines_price_z")
+def q_lines_price_z(spark, d):
+    """Prices of order lines on the scale of the training items."""
+    fx = A.fx(spark)
+    stats = features.price_stats(features.price_eur(A.labeled(spark, d), fx))
+    out = features.price_z(features.price_eur(A.line_scored(spark, d), fx), stats)
+    return out.select("item_id", "price_eur", F.round("price_z", 9).alias("price_z"))
+
+
+@query("lines_answer_contract")
+def q_lines_answer_contract(spark, d):
+    """Reason code of every answer under the strict contract."""
+    return contract.reasons(A.line_answer_forms(spark, d), A.codes(spark, d))
+
+
+@query("lines_contract_report")
+def q_lines_contract_report(spark, d):
+    return contract.report(contract.reasons(A.line_answer_forms(spark, d), A.codes(spark, d)))
+
+
+#: without vendor and guess, so that lines of one part share their prompt
+SHORT_PROMPT = "Code for: {text}"
+
+
+def _line_ledger(spark, d):
+    """Prompts of the routed order lines, and a ledger of a run that answered those with an even key before it
+    died; a stored answer that is no JSON is an error there."""
+    routed = gate.route(A.line_scored(spark, d))
+    prompts = ledger.with_digest(answers.prompts(routed, A.codes(spark, d), template=SHORT_PROMPT))
+    done = routed.where(F.col("k") % 2 == 0).select("item_id").join(A.line_responses(spark, d), "item_id")
+    failed = F.col("response") == "not json"
+    entries = prompts.join(done, "item_id").select(
+        ledger.DIGEST, F.when(~failed, F.col("response")).alias("response"),
+        F.when(failed, F.lit("ValueError: not json")).alias("error_message"),
+    )
+    return prompts, entries
+
+
+@query("lines_ledger_pending")
+def q_lines_ledger_pending(spark, d):
+    """What a second start of the run asks: prompts without an answer, each once."""
+    return ledger.pending(*_line_ledger(spark, d)).select(ledger.DIGEST, "prompt", "n_items")
+
+
+@query("lines_ledger_answers")
+def q_lines_ledger_answers(spark, d):
+    """Every routed line with its prompt's entry of the ledger."""
+    return ledger.to_items(*_line_ledger(spark, d))
+
+
+@query("lines_rescore_plan")
+def q_lines_rescore_plan(spark, d):
+    """Order lines that a run has to score again: the table of the run before lacks some, had other prices for
+    some, and holds some of an older model."""
+    from . import incremental as I
+
+    k, price = F.col("k"), F.col(COLS.price)
+    now = A.line_scored(spark, d)
+    before = now.where(k % 50 != 1).withColumn(COLS.price, F.when(k % 20 == 0, price + 1).otherwise(price))
+    manifest = before.select(
+        "item_id", I.content_digest(I.content()).alias(I.DIGEST),
+        F.when(k % 30 == 7, F.lit("1")).otherwise(F.lit("2")).alias(I.SCORED_BY),
+    )
+    return I.to_rescore(now, manifest, "2", I.content())
+
+
 # --- registry over rule models --------------------------------------------------------
 
 def _rule_runs(spark, d) -> DataFrame:

@@ -202,6 +202,35 @@ def line_responses(spark: SparkSession, d: str, threshold: float = C.CONFIDENCE_
     return _stored(line_scored(spark, d), threshold)
 
 
+@_memo
+def line_answer_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Answers for the routed items of `lineitem` in every form the strict contract tells apart."""
+    s = line_scored(spark, d).where(F.col(C.COLS.confidence) < C.CONFIDENCE_THRESHOLD)
+
+    def form(code, rest='","reason":"name match","agrees_with_ml":true}'):
+        return F.concat(F.lit('{"iso_code":"'), code, F.lit(rest))
+
+    truth = F.col(C.COLS.truth)
+    forms = [
+        F.lit("not json"),
+        F.lit('["06 03 03"]'),
+        form(truth, '","reason":"a","agrees_with_ml":true,"reason":"b"}'),
+        form(truth, '","agrees_with_ml":true}'),
+        form(truth, '","reason":"a","agrees_with_ml":true,"score":0.5,"also":{"x":[1]}}'),
+        form(truth, '","reason":"a","agrees_with_ml":"yes"}'),
+        form(truth, '","reason":null,"agrees_with_ml":true}'),
+        form(F.lit("99 99 99")),
+        form(F.lit(" ")),
+        F.concat(form(truth), F.lit(" as asked")),
+        F.lit(""),
+    ]
+    r = F.lit(None).cast("string")
+    for i, text in enumerate(forms):
+        r = F.when(F.col("k") % 16 == i, text).otherwise(r)
+    r = F.when(F.col("k") % 16 > len(forms), form(truth)).otherwise(r)
+    return s.select("item_id", r.alias("response"))
+
+
 @_memo
 def corrections(spark: SparkSession, d: str) -> DataFrame:
     """Expert corrections: every 50th item, one item twice, one unknown id."""
