@@ -9,6 +9,7 @@ An entry with an error is kept, but its prompt counts as unanswered.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,8 @@ def to_items(prompts: DataFrame, entries: DataFrame, id_col: str = COLS.id) -> D
 
 
 def _folder(spark: SparkSession, table: str, run_id: str) -> str:
-    return f"{sinks.table_path(spark, table)}/run_id={run_id}"
+    """The run's folder; a time of day as run id has colons, which paths may not hold."""
+    return f"{sinks.table_path(spark, table)}/run_id={quote(run_id, safe='')}"
 
 
 def entries(spark: SparkSession, table: str, run_id: str) -> DataFrame:
@@ -95,7 +97,7 @@ def ask(
     committer of its own, what a failed job answered may be asked again."""
     spark = prompts.sparkSession
     prompts = with_digest(prompts)
-    todo_table = f"{sinks.table_path(spark, table)}__todo/run_id={run_id}"
+    todo_table = _folder(spark, f"{sinks.table_path(spark, table)}__todo", run_id)
     sinks.save_table(pending(prompts, entries(spark, table, run_id)).select(DIGEST, "prompt"), todo_table)
     todo = sinks.read_table(spark, todo_table)
     n = todo.count()

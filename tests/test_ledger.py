@@ -74,10 +74,10 @@ def test_an_error_is_asked_again_and_an_answer_wins(spark):
             raise ValueError("busy")
         return texts
 
-    out = ledger.ask(prompts, fails_on_one, "led_err", "r").collect()
+    out = ledger.ask(prompts, fails_on_one, "led_err", "2024-06-01 00:00/a").collect()
     assert {r["error_message"] for r in out if r["response"] is None} == {"ValueError: busy"}
     assert sum(r["response"] is None for r in out) == 2
-    out = ledger.ask(prompts, lambda t: t + "!", "led_err", "r").collect()
+    out = ledger.ask(prompts, lambda t: t + "!", "led_err", "2024-06-01 00:00/a").collect()
     assert sorted(r["response"] for r in out) == ["prompt 0", "prompt 0", "prompt 1!", "prompt 1!", "prompt 2", "prompt 2"]
     assert all(r["error_message"] is None for r in out)
 
