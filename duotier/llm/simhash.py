@@ -139,7 +139,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
     """(a, b): links between distinct fingerprints that join exactly those within `max_bits`, possibly over others."""
     keys = ring_keys(fps, max_bits)
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = keys.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / group).cast("int"))
+    shared = keys.join(_shuffled(sizes), "key").withColumn("blocks", F.ceil(F.col("n") / group).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = shared.select("key", "fp", own.alias("own"), "blocks", other).select(
@@ -203,23 +203,29 @@ def components(edges: DataFrame) -> DataFrame:
     while not step.isEmpty():
         move = saved(step.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "moves")
         moves.append(move)
-        at_a = step.join(move, "a").select(F.col("m").alias("x"), F.col("b").alias("a"))
+        at_a = step.join(_shuffled(move), "a").select(F.col("m").alias("x"), F.col("b").alias("a"))
         step = saved(
-            at_a.join(move, "a").select(F.col("x").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "edges"
+            at_a.join(_shuffled(move), "a").select(F.col("x").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "edges"
         )
     if not moves:
         return edges.select(F.col("a").alias("v"), F.col("a").alias("root")).limit(0)
     out = moves[0].select(F.col("a").alias("v"), F.col("m").alias("root"))
     for move in moves[1:]:
-        out = out.join(move, out.root == move.a, "left").select("v", F.coalesce("m", "root").alias("root"))
+        out = out.join(_shuffled(move), out.root == move.a, "left").select("v", F.coalesce("m", "root").alias("root"))
     return out
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """The side of a join that grows with the documents: never broadcast, as its compressed file may look small
+    while the table of its rows, and one for every such join of a plan, would pass through the driver."""
+    return side.hint("merge")
+
+
 def classes(got: DataFrame, max_bits: int) -> DataFrame:
     """(fp, root): the component of every distinct fingerprint, a written table."""
     fps = got.select("fp").distinct()
     roots = components(links(fps, max_bits))
-    return saved(fps.join(roots, fps.fp == roots.v, "left").select("fp", F.coalesce("root", "fp").alias("root")), "classes")
+    return saved(fps.join(_shuffled(roots), fps.fp == roots.v, "left").select("fp", F.coalesce("root", "fp").alias("root")), "classes")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -227,9 +233,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     got = saved(fingerprints(docs, shingle), "fingerprints")
     named = classes(got, max_bits)
     least = got.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    ids = named.join(least, "fp").groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_fp = named.join(ids, "root").select("fp", "component_id")
-    return got.join(of_fp, "fp").select(
+    ids = named.join(_shuffled(least), "fp").groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of_fp = named.join(_shuffled(ids), "root").select("fp", "component_id")
+    return got.join(_shuffled(of_fp), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -255,7 +261,7 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     rows = saved(packed.mapInArrow(run, schema), "rows")
     named = classes(rows.select("fp"), max_bits)
     order = F.struct(F.col("id").isNull().alias("x"), "id", "h", "fp")
-    chosen = rows.groupBy("fp").agg(F.min(order).alias("k")).join(named, "fp").groupBy("root").agg(F.min("k").alias("k"))
+    chosen = rows.groupBy("fp").agg(F.min(order).alias("k")).join(_shuffled(named), "fp").groupBy("root").agg(F.min("k").alias("k"))
     chosen = chosen.select(F.col("k.fp").alias("k_fp"), F.col("k.id").alias("k_id"), F.col("k.h").alias("k_h"))
     same = (F.col("fp") == F.col("k_fp")) & F.col("id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))
-    return rows.join(chosen, same).dropDuplicates(["fp", "id", "h"]).select("row.*")
+    return rows.join(_shuffled(chosen), same).dropDuplicates(["fp", "id", "h"]).select("row.*")

@@ -123,3 +123,12 @@ def test_chains_are_tested_in_groups_of_any_size():
         label = S.group_links(fp, start, S.MAX_BITS)
         linked = S.chain_ok(fp[:100] ^ fp[100:], start, S.MAX_BITS)
         assert ((label[100:] == S.np.arange(100)) == linked).all()
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    """Tables of fingerprints look small as files; none of them may pass through the driver."""
+    df = edge.docs(spark)
+    for got in (S.near_duplicates(df), S.representatives(df), S.links(S.fingerprints(df))):
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Broadcast" not in plan
