@@ -121,3 +121,18 @@ def test_labelled_documents_are_told_apart(spark, sf, toxic, clean):
     assert lost[1, 0] <= clean
     assert sum(n - k for (_, t), (n, k) in got.items() if t == 1) >= toxic * sum(n for (_, t), (n, _) in got.items() if t == 1)
     assert sum(k for (q, _), (n, k) in got.items() if q == 0) <= 0.5 * sum(n for (q, _), (n, k) in got.items() if q == 0)
+
+
+def test_every_trusted_document_counts(spark):
+    """More than the 5,000 that the target was once cut to."""
+    n = 5200
+    marks = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    docs = spark.range(n).selectExpr("id AS doc_id", "array_join(transform(sequence(0, 60), j -> concat('w', id % (j + 7), 'x', j)), ' ') AS text")
+    assert Q.target_ids(marks).count() == n
+    counts = Q.n_gram_counts(docs, marks).agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    assert counts.raw == counts.target == n * 121
+    rows = Q.own_scores(docs, marks, Q.model(Q.n_gram_counts(docs, marks)))
+    assert rows.where("is_target").count() == n
+    judge = Q.fit(docs, marks)
+    for found, c, q in zip((judge.min_score, judge.min_worst), ("score", "worst"), Q.QUANTILES):
+        assert abs(found - Q.np.quantile([r[0] for r in rows.select(c).collect()], q)) < 1e-12
