@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import COLS, Cols
+from . import grams
 from .features import term_array
 
 WIDTH = 8192
@@ -92,10 +93,8 @@ def exact_counts(term_arrays: DataFrame, terms: list[str]) -> DataFrame:
     """(term, freq, df) of the given terms: occurrences, and rows that hold the term. term_arrays: column `_terms`."""
     spark = term_arrays.sparkSession
     known = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))  # at most 2 * width terms
-    once = F.transform(F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d")))
-    every = F.transform(F.col("_terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("d")))
-    marked = term_arrays.select(F.explode(F.concat(every, once)).alias("t")).select("t.term", "t.d")
-    return marked.join(known, "term").groupBy("term").agg(F.sum(1 - F.col("d")).alias("freq"), F.sum("d").alias("df"))
+    counts = term_arrays.select("_terms").mapInArrow(grams.among(terms), grams.COUNTS)  # a row per term and batch
+    return counts.join(known, "term").groupBy("term").agg(F.sum("freq").alias("freq"), F.sum("df").alias("df"))
 
 
 def vocabulary(
