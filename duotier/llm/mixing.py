@@ -23,6 +23,7 @@ that are named like its own (mix_slot and so on)."""
 from __future__ import annotations
 
 import heapq
+import inspect
 import math
 from fractions import Fraction
 
@@ -164,15 +165,11 @@ def located(
     return found, max((slot for _, _, slot, _, _ in plan), default=0)
 
 
-def in_mixed_order(
-    docs: DataFrame,
-    weights: dict[str | None, float] | None = None,
-    block: int = BLOCK,
-    period: int | None = None,
-    temperature: float = TEMPERATURE,
-) -> DataFrame:
-    """The rows and columns of `docs` in the mixed order: range by range of slots, sorted within each."""
-    mixed, last = located(docs, docs.columns, weights, block, period, temperature)
+def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
+    """The rows and columns of `docs` in the mixed order: range by range of slots, sorted within each; `options` as in `mix`."""
+    bound = inspect.signature(mix).bind(docs, keep=docs.columns, **options)
+    bound.apply_defaults()
+    mixed, last = located(**bound.arguments)
     # slots are dealt evenly from 0 on, so their ranges need no sampling; the end is the last block's turn
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.least(F.lit(parts - 1), F.floor(F.col("mix_slot") * parts / (last + 1)).cast("int"))

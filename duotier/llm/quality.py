@@ -13,6 +13,8 @@ trusted documents' own means and of their worst words, exact at any size (a
 global sort).  Every document gets the verdict of these two.  Each text is scored
 once, as a trusted one and as another; which of the two holds comes from a join of
 these small rows with the trusted ids, so the ids are never gathered in one place.
+For the counts each text meets the ids as its packed buckets, not as a whole.  The
+joins are shuffled at every size, so what they write grows with the input alone.
 
 Before that verdict stand plain rules: at least `MIN_WORDS` words, and at most
 half of the words inside a repeated window of three.
@@ -24,6 +26,7 @@ table gives an empty result; columns other than doc_id and text are not read."""
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, rows_to_batches, saved, small_batches
+from .common import BATCH_ROWS, as_bytes, rows_to_batches, saved, small_batches
 
 BUCKETS = 1 << 16
 #: Shares of the trusted documents below the threshold of the mean, and below that of the worst words.
@@ -118,23 +121,45 @@ def target_ids(labels: DataFrame) -> DataFrame:
 
 
 def with_target(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """`rows` (with a long doc_id) and whether their id is a trusted one; how they are joined is left to the sizes."""
+    """`rows` (with a long doc_id) and whether their id is a trusted one. Shuffled at every size, and hashed, as `rows` may be too wide to sort."""
     target = target_ids(labels).withColumn("is_target", F.lit(True))
-    return rows.join(target, "doc_id", "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
+    return rows.join(target.hint("shuffle_hash"), "doc_id", "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
+
+
+def packed(at: np.ndarray) -> bytes:
+    """Buckets in ascending order as compressed differences: a fraction of the text's size."""
+    return zlib.compress(np.diff(np.sort(at), prepend=0).astype("<u2").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), "<u2"), dtype=np.int64)
+
+
+def n_grams(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_grams): the packed buckets of every document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        rows = (
+            (doc_id, packed(n_gram_buckets(words.hashes_of(words.ids(t.split())))))
+            for b in batches
+            for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())
+        )
+        yield from rows_to_batches(rows, schema, BATCH_ROWS)
+
+    return as_bytes(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, "doc_id long, n_grams binary")
 
 
 def n_gram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, raw, target): n-gram counts of all documents and of the trusted target; at most BUCKETS rows."""
-    flagged = with_target(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
     schema = pa.schema([("bucket", pa.int32()), ("raw", pa.int64()), ("target", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good, words = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), Words()
+        raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
-            flags = b.column("is_target").to_pylist()
-            for text, is_target in zip(b.column("text").to_pylist(), flags):
-                ids = words.ids(text.split())
-                at = n_gram_buckets(words.hashes_of(ids))
+            for data, is_target in zip(b.column("n_grams").to_pylist(), b.column("is_target").to_pylist()):
+                at = unpacked(data)
                 np.add.at(raw, at, 1)
                 if is_target:
                     np.add.at(good, at, 1)
@@ -144,7 +169,8 @@ def n_gram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         )
 
     return (
-        as_bytes(flagged, "is_target")
+        with_target(n_grams(docs), labels)
+        .select("n_grams", "is_target")
         .mapInArrow(count, "bucket int, raw long, target long")
         .groupBy("bucket")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))

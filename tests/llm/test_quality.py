@@ -136,3 +136,23 @@ def test_every_trusted_document_counts(spark):
     judge = Q.fit(docs, marks)
     for found, c, q in zip((judge.min_score, judge.min_worst), ("score", "worst"), Q.QUANTILES):
         assert abs(found - Q.np.quantile([r[0] for r in rows.select(c).collect()], q)) < 1e-12
+
+
+def test_counting_shuffles_packed_buckets_and_never_broadcasts(spark, capsys):
+    """The trusted ids meet no text in a shuffle, and the plan is the same for few ids as for many."""
+    counts = Q.n_gram_counts(edge.docs(spark), labels(spark))
+    counts.explain("simple")
+    Q.own_scores(edge.docs(spark), labels(spark), Q.model(counts)).explain("simple")
+    plan = capsys.readouterr().out
+    assert plan.count("ShuffledHashJoin") == 2 and "Broadcast" not in plan and "SortMergeJoin" not in plan
+    shuffled = [x for x in plan.splitlines() if "Exchange" in x]
+    assert shuffled and not any("text" in x for x in shuffled)
+    joined = Q.with_target(Q.n_grams(edge.docs(spark)), labels(spark))
+    assert set(joined.columns) == {"doc_id", "n_grams", "is_target"}
+
+
+def test_packed_buckets_come_back_sorted():
+    for n in (0, 1, 5, 40_000):
+        at = Q.np.random.default_rng(n).integers(0, Q.BUCKETS, n)
+        at[: n // 3] = Q.BUCKETS - 1
+        assert Q.unpacked(Q.packed(at)).tolist() == sorted(at.tolist())
