@@ -301,8 +301,10 @@ def q_code_report(spark, d):
 @query("lines_code_report")
 def q_lines_code_report(spark, d):
     """The same over order lines."""
-    s = A.line_scored(spark, d)
-    classified = flows.classified_flow(s, A.line_responses(spark, d))
+    # what the report and its flow read of the lines, which feed four branches
+    s = A.line_scored(spark, d).select("item_id", "k", COLS.predicted, COLS.confidence, COLS.truth)
+    s = sinks.written_once(s, "line_scored")
+    classified = flows.classified_flow(s, A.stored(s))
     return report.per_code(report.confusion(classified, s.select("item_id", COLS.truth)))
 
 

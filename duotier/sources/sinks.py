@@ -26,6 +26,13 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").parquet(table_path(df.sparkSession, name))
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """`df` read back from a new folder of shared storage: branches that follow read files instead of computing it again."""
+    path = f"{storage_root(df.sparkSession)}/scratch/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").parquet(table_path(df.sparkSession, name))
 
