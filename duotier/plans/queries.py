@@ -610,15 +610,17 @@ SHORT_PROMPT = "Code for: {text}"
 def _line_ledger(spark, d):
     """Prompts of the routed order lines, and a ledger of a run that answered those with an even key before it
     died; a stored answer that is no JSON is an error there."""
-    routed = gate.route(A.line_scored(spark, d))
-    prompts = ledger.with_digest(answers.prompts(routed, A.codes(spark, d), template=SHORT_PROMPT))
-    done = routed.where(F.col("k") % 2 == 0).select("item_id").join(A.line_responses(spark, d), "item_id")
+    lines = A.line_scored(spark, d).select("item_id", "k", COLS.text, COLS.predicted, COLS.confidence, COLS.truth)
+    routed = sinks.written_once(gate.route(lines), "line_routed")
+    prompts = answers.prompts(routed.select("item_id", COLS.predicted, COLS.text), A.codes(spark, d), template=SHORT_PROMPT)
+    prompts = sinks.written_once(ledger.with_digest(prompts), "line_prompts")
+    done = routed.where(F.col("k") % 2 == 0).select("item_id").join(A.stored(routed), "item_id")
     failed = F.col("response") == "not json"
     entries = prompts.join(done, "item_id").select(
         ledger.DIGEST, F.when(~failed, F.col("response")).alias("response"),
         F.when(failed, F.lit("ValueError: not json")).alias("error_message"),
     )
-    return prompts, entries
+    return prompts, sinks.written_once(entries, "line_entries")  # a ledger is a table, too
 
 
 @query("lines_ledger_pending")

@@ -83,3 +83,10 @@ def test_a_very_long_text_is_tokenised_in_linear_time(spark):
     assert features.terms(df.where("doc_id > 1"), cols).count() == 2
     grams = df.where("doc_id = 1").select(F.size(features.ngrams(F.split("text", " "), 3)).alias("n")).first().n
     assert grams == 20_000 + 19_999 + 19_998
+
+
+@pytest.mark.parametrize("name", ["lines_code_report", "lines_ledger_answers", "lines_ledger_pending"])
+def test_lines_are_derived_once(spark, name):
+    """All branches read what was written of the lines; none groups and joins `lineitem` again."""
+    files = QUERIES[name](spark, SF["tiny"]).inputFiles()
+    assert files and not any("lineitem" in f for f in files)
